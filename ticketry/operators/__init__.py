@@ -1,0 +1 @@
+"""Operators: plain functions from DataFrames to DataFrames."""
