@@ -484,3 +484,33 @@ SELECT real_cat, canal, count(*) AS n, sum(length(texto))::BIGINT AS letters FRO
   SELECT codigo AS real_cat, id_canal::VARCHAR AS canal, texto FROM (SELECT *, id_ticket::VARCHAR AS s, {TEXT} AS texto FROM f_tickets) f
   JOIN d_tipo ON id_tipo = id_tipo_real WHERE strlen(trim(texto)) >= 5 AND {CRC} % 5 <> 0
   UNION ALL SELECT real_cat, 'lote_L1', texto FROM mined) GROUP BY 1, 2""")
+
+# --- features -----------------------------------------------------------------------------
+COUNTS = rf"""
+words AS (SELECT doc_id, regexp_extract_all(lower(strip_accents(text)), '[\pL\pN_]{{2,}}') AS w FROM documents),
+terms AS (
+  SELECT doc_id, unnest(w) AS term FROM words
+  UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY 1, 2),
+total AS (SELECT count(*) AS n FROM documents),
+vocabulary AS (SELECT term, count(*) AS df, ln((1 + n) / (1 + count(*))::DOUBLE) + 1 AS idf FROM counts, total GROUP BY term, n
+  HAVING count(*) >= 2 AND count(*) <= n * 0.9)"""
+
+
+def weights(frequency: str) -> str:
+    return with_tables(COUNTS, f"""
+SELECT doc_id, term, tf, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight
+FROM (SELECT doc_id, term, tf, {frequency} * idf AS raw FROM counts JOIN vocabulary USING (term))""")
+
+
+ORACLES["tfidf_terms"] = weights("tf")
+ORACLES["tfidf_sublinear"] = weights("(1 + ln(tf))")
+ORACLES["tfidf_vocabulary"] = with_tables(
+    COUNTS, "SELECT term, df, round(idf, 6) AS idf FROM vocabulary"
+)
+ORACLES["onehot_meta"] = f"""
+WITH docs AS (SELECT doc_id AS id_ticket, source AS canal, coalesce(quality::VARCHAR, '') AS prioridad, doc_id::VARCHAR AS s
+  FROM documents LEFT JOIN labels USING (doc_id)),
+parts AS (SELECT *, {CRC} % 5 AS part FROM docs),
+pairs AS (SELECT id_ticket, part, 'canal=' || canal AS feature FROM parts UNION ALL SELECT id_ticket, part, 'prioridad=' || prioridad FROM parts)
+SELECT id_ticket, feature, 1 AS value FROM pairs WHERE part = 0 AND feature IN (SELECT feature FROM pairs WHERE part <> 0)"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ticketry import catalogs as C
 from ticketry.functions import dates, ids, text, values
 from ticketry.operators import (
-    classify as K, columns, kpi, metrics, normalize, quality, repair, training_sets, warehouse,
+    classify as K, columns, features, kpi, metrics, normalize, quality, repair, training_sets, warehouse,
 )
 from ticketry.sources.positions import parquet_positions
 from ticketry.vocabulary import CATEGORIES, default_terms
@@ -650,3 +650,33 @@ def augment(spark, sf):
     return training_sets.augmented(train, errors).groupBy("real_cat", "canal").agg(
         F.count("*").alias("n"), F.sum(F.length("texto")).alias("letters")
     )
+
+
+# --- features -----------------------------------------------------------------------------
+@query
+def tfidf_terms(spark, sf):
+    docs = S.documents(spark, sf, "doc_id", "text")
+    return rounded(features.tfidf(docs, "doc_id", "text"), "weight")
+
+
+@query
+def tfidf_sublinear(spark, sf):
+    docs = S.documents(spark, sf, "doc_id", "text")
+    return rounded(features.tfidf(docs, "doc_id", "text", sublinear=True), "weight")
+
+
+@query
+def tfidf_vocabulary(spark, sf):
+    docs = S.documents(spark, sf, "doc_id", "text")
+    counts = features.term_counts(docs, "doc_id", "text")
+    return rounded(features.vocabulary(counts, docs), "idf")
+
+
+@query
+def onehot_meta(spark, sf):
+    """Metadata of the validation documents, known from the training documents."""
+    docs = S.labelled_documents(spark, sf)
+    part = training_sets.split_part(F.col("id_ticket"))
+    return features.one_hot(
+        docs.where(part == 0), "id_ticket", ["canal", "prioridad"], docs.where(part != 0)
+    )

@@ -161,26 +161,19 @@ def score_terms_joined(
     is small and otherwise splits frequent terms with AQE's skew join.
     """
     words = F.regexp_extract_all(folded_text(text), F.lit(rf"({WORD_CLASS}+)"), F.lit(1))
+
+    def runs(n: int) -> str:
+        return (
+            f"if(size(_w) >= {n}, transform(sequence(1, size(_w) - {n - 1}),"
+            f" i -> array_join(slice(_w, i, {n}), ' ')), array())"
+        )
+
     grams = df.select(F.col(key), words.alias("_w")).select(
         key,
-        F.explode(
-            F.array_distinct(
-                F.flatten(
-                    F.array(
-                        *[
-                            F.when(
-                                F.size("_w") >= n,
-                                F.transform(
-                                    F.sequence(F.lit(1), F.size("_w") - (n - 1)),
-                                    lambda i, n=n: F.array_join(F.slice("_w", i, n), " "),
-                                ),
-                            ).otherwise(F.array().cast("array<string>"))
-                            for n in range(1, max_words + 1)
-                        ]
-                    )
-                )
-            )
-        ).alias("term"),
+        F.expr(
+            f"explode(array_distinct(concat({', '.join(runs(n) for n in range(1, max_words + 1))})))"
+            " AS term"
+        ),
     )
     return (
         grams.join(vocabulary, "term")
