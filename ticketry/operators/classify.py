@@ -171,7 +171,7 @@ def score_terms_joined(
     grams = df.select(F.col(key), words.alias("_w")).select(
         key,
         F.expr(
-            f"explode(array_distinct(concat({', '.join(runs(n) for n in range(1, max_words + 1))})))"
+            f"explode_outer(array_distinct(concat({', '.join(runs(n) for n in range(1, max_words + 1))})))"
             " AS term"
         ),
     )
@@ -227,9 +227,13 @@ def apply_context(
     )
 
 
-def decide(scores: str = "scores") -> Column:
+def best_score(scores: str = "scores") -> str:
+    return "greatest(" + ", ".join(f"{scores}.{c}" for c in CATEGORIES) + ")"
+
+
+def decide(scores: str = "scores", top: str | None = None) -> Column:
     """Best category; ties go by ``TIE_ORDER``, and texts without a positive score to SRV."""
-    top = "greatest(" + ", ".join(f"{scores}.{c}" for c in CATEGORIES) + ")"
+    top = best_score(scores) if top is None else top
     choices = " ".join(
         f"WHEN abs({scores}.{c} - {top}) < {TIE_WIDTH}D THEN '{c}'" for c in TIE_ORDER
     )
@@ -245,4 +249,5 @@ def classify(
     keyed = df.withColumn("_key", text_key(text))
     scored = score_terms(keyed, _fold(F.col("_key")), vocabulary, folded=True)
     adjusted = apply_context(scored, F.col("_key"), rules, keyed=True)
-    return adjusted.withColumn("categoria", decide()).drop("_key")
+    best = adjusted.withColumn("_top", F.expr(best_score()))
+    return best.withColumn("categoria", decide(top="_top")).drop("_key", "_top")

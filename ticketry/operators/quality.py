@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import catalogs as C
 from ..functions.dates import minutes_between, moment
-from ..functions.text import match_key, strip_blank
+from ..functions.text import match_key, quoted, strip_blank
 
 
 def violated(df: DataFrame, rules: dict[str, Column], keep: list[str]) -> DataFrame:
@@ -200,7 +200,7 @@ def repeated_sentences(df: DataFrame, text: str) -> DataFrame:
     are reduced before it.
     """
     sentences = df.select(
-        F.explode(
+        F.explode_outer(  # the plain form would split each text twice, to test for emptiness
             F.array_distinct(
                 F.transform(F.split(F.col(text), r"[.!?]+"), lambda s: strip_blank(s))
             )
@@ -217,24 +217,21 @@ CATEGORY_SHARES = [
 
 
 def shares(df: DataFrame, column: str = "categoria", bounds=None) -> DataFrame:
-    """Share of each listed value, and whether it lies within its bounds."""
-    spark = df.sparkSession
-    listed = C.inline_table(spark, bounds or CATEGORY_SHARES, [column, "minimo", "maximo"])
-    counted = df.groupBy(column).agg(F.count("*").alias("n"))
-    total = counted.agg(F.sum("n").alias("_total"))
-    share = F.round(
-        F.coalesce(F.try_divide(F.lit(100.0) * F.coalesce("n", F.lit(0)), F.col("_total")), F.lit(0.0)),
-        2,
+    """Share of each listed value, and whether it lies within its bounds. One aggregation."""
+    bounds = bounds or CATEGORY_SHARES
+    counted = df.agg(
+        F.count("*").alias("_total"),
+        *[F.count_if(F.col(column) == value).alias(f"_n{i}") for i, (value, _, _) in enumerate(bounds)],
+    )
+    listed = ", ".join(
+        f"struct({quoted(value)} AS {column}, _n{i} AS n, {low}D AS _low, {high}D AS _high)"
+        for i, (value, low, high) in enumerate(bounds)
     )
+    share = F.coalesce(F.round(F.try_divide(F.lit(100.0) * F.col("n"), F.col("_total")), 2), F.lit(0.0))
     return (
-        listed.join(counted, column, "left")
-        .join(F.broadcast(total))
-        .select(
-            column, F.coalesce("n", F.lit(0)).alias("n"), share.alias("pct"),
-            share.between(
-                F.col("minimo").cast("double"), F.col("maximo").cast("double")
-            ).alias("dentro"),
-        )
+        counted.selectExpr("_total", f"inline(array({listed}))")
+        .withColumn("pct", share)
+        .select(column, "n", "pct", F.expr("pct BETWEEN _low AND _high").alias("dentro"))
     )
 
 
