@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ticketry import catalogs as C
 from ticketry.functions import dates, ids, text, values
 from ticketry.operators import (
-    classify as K, columns, features, kpi, metrics, normalize, quality, repair, training_sets, warehouse,
+    classify as K, columns, features, kpi, metrics, models, normalize, quality, repair, training_sets, warehouse,
 )
 from ticketry.sources.positions import parquet_positions
 from ticketry.vocabulary import CATEGORIES, default_terms
@@ -680,3 +680,41 @@ def onehot_meta(spark, sf):
     return features.one_hot(
         docs.where(part == 0), "id_ticket", ["canal", "prioridad"], docs.where(part != 0)
     )
+
+
+# --- models -------------------------------------------------------------------------------
+def _split_documents(spark, sf):
+    docs = S.labelled_documents(spark, sf)
+    return training_sets.train_split(docs), training_sets.valid_split(docs)
+
+
+def _scored(spark, sf, spec):
+    train, valid = _split_documents(spark, sf)
+    return models.score_lot(models.train_model(train, spec), valid)
+
+
+@query
+def score_lot_nb(spark, sf):
+    return _scored(spark, sf, models.ModelSpec("nb", 0.5))
+
+
+@query
+def score_lot_lr(spark, sf):
+    return _scored(spark, sf, models.ModelSpec("lr", 2.0))
+
+
+@query
+def score_lot_svm(spark, sf):
+    return _scored(spark, sf, models.ModelSpec("svm", 1.0))
+
+
+@query
+def score_lot_meta(spark, sf):
+    """Text with damped counts and one-hot metadata."""
+    return _scored(spark, sf, models.ModelSpec("nb", 0.5, meta=True, sublinear=True))
+
+
+@query
+def grid_search(spark, sf):
+    train, _ = _split_documents(spark, sf)
+    return models.grid_search(train, models.ModelSpec("nb"))
