@@ -71,15 +71,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Documents in at least as many splits as there are cores.
+def spread(df: DataFrame) -> DataFrame:
+    """At least as many splits as there are cores, for tables whose rows cost much work.
 
-    A table in fewer splits than cores is spread by a shuffle; a table of cluster size has
-    far more splits and is read as it is.
+    A table in fewer files than cores is spread by a shuffle; a table of cluster size has far
+    more files and is read as it is.
     """
-    docs = table(spark, sf_dir, "documents").select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    return docs.repartition(cores) if len(docs.inputFiles()) < cores else docs
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select(*columns))
+
+
+def orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "orders"))
 
 
 def _pick(values: list[str], position: str) -> str:
@@ -99,7 +106,7 @@ def tickets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("l_shipdate").alias("closed")
     )
     orders = (
-        table(spark, sf_dir, "orders")
+        orders_table(spark, sf_dir)
         .join(closes, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .join(
             table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"),
