@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ticketry.llm.bpe import encode
 from ticketry.llm.common import doc_id, documents
+from ticketry.llm.html_text import extract_text
+from ticketry.llm.licenses import scan_licenses
 from ticketry.llm.packing import pack
 from ticketry.llm.quality_rules import BASE, judge
 from ticketry.llm.sharding import shard
@@ -30,6 +32,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup(documents(spark, sf_dir).select("doc_id", "text"), 400)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
@@ -47,6 +53,11 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(doc_id(), *[c for c in found.columns if not c.startswith("__")])
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir).select("doc_id", "text"), capacity=4096)
 
@@ -75,7 +86,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_topk_search, op2_simhash_near_dedup, op4_suffix_array_dedup, op5_bpe_codec,
-        op7_best_fit_packing, op8_substring_dedup, op9_weighted_tree_sharding, op10_quality_rules,
+        op1_topk_search, op2_simhash_near_dedup, op3_html_extraction, op4_suffix_array_dedup, op5_bpe_codec,
+        op6_license_scans, op7_best_fit_packing, op8_substring_dedup, op9_weighted_tree_sharding, op10_quality_rules,
     )
 }
