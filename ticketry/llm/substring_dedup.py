@@ -1,13 +1,18 @@
 """Substring dedup: Rabin-Karp hashes of token windows, counted in Spark.
 
-A window is a run of words of one document. Each is hashed by two rolling hashes (128 bits); a
-window that also starts in a document with a smaller id is removed, and what is removed merges
-into maximal intervals.
-
-Not every window goes through the shuffle. Each names one anchor, the smallest hash of a few
-words inside it; equal windows name equal anchors, so windows whose anchor occurs in one document
-only can't occur in two. Anchors (about one for 22 words) are counted first, and the windows of
-shared anchors alone are counted then. That is exact and looks at every window.
+A window is a run of words of one document, hashed by two rolling hashes (128 bits together). A
+window that also starts in a document with a smaller id is removed, and what is removed merges into
+maximal intervals.
+
+Windows are counted without sending each of them through the shuffle:
+
+1. Each window names an anchor, the smallest hash of a few words inside it; equal windows name equal
+   anchors. Neighbours that name the same place are one run (about 22 windows). Runs whose
+   anchor occurs in one document only hold no window of two documents and are done.
+2. Runs that agree in all their words form one class. For every row of a class but those of its
+   smallest id, all windows of the run are removed.
+3. For those of the smallest id, it takes other classes of the same anchor: their windows are
+   hashed, one run for a class, and the smallest id of each hash is counted.
 """
 
 from __future__ import annotations
@@ -20,12 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketry.llm.common import keyed, unknown
-from ticketry.llm.rolling import minima, mixed, windows
+from ticketry.llm.common import cut, keyed, unknown
+from ticketry.llm.rolling import minima, mixed, powers, windows
 
 WINDOW = 50
 #: Words of an anchor.
 ANCHOR = 8
+#: Rows handed over at a time.
+HANDED = 1 << 16
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -33,63 +40,96 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def _anchors(hashes: np.ndarray, window: int, anchor: int):
-    """(first window, last window, hash) for runs of windows that name the same anchor."""
-    grams = mixed(windows(hashes, anchor, BASES[0]))
-    for at, places in minima(grams, window - anchor + 1):
-        edges = np.flatnonzero(np.diff(places)) + 1
-        first = np.concatenate([[0], edges])
-        last = np.concatenate([edges - 1, [len(places) - 1]])
-        yield at + first, at + last, grams[places[first]].view(np.int64)
+RUN = "anchor long, whole long, __id long, __th long, first long, last long"
 
 
-def _name_anchors(window: int, anchor: int):
+def _runs(window: int, anchor: int):
+    """Runs of windows that name the same anchor: a hash of the anchor and one of all their words."""
+
     def run(batches):
+        up = down = np.empty(0, np.uint64)
+        inverse = pow(BASES[1], -1, 1 << 64)
         for batch in batches:
-            ids, ths, hashes = [], [], []
             rows = zip(*(batch.column(c).to_pylist() for c in ("__id", "__th", "__text")))
+            out = [[] for _ in range(6)]
+            size = 0
             for doc, th, text in rows:
                 words = text.encode().split()
                 if len(words) < window:
                     continue
-                found = [h for _, _, h in _anchors(word_hashes(words), window, anchor)]
-                found = np.unique(np.concatenate(found))
-                ids.append(np.full(len(found), doc, np.int64))
-                ths.append(np.full(len(found), th, np.int64))
-                hashes.append(found)
-            if ids:
-                columns = [pa.array(np.concatenate(c)) for c in (ids, ths, hashes)]
-                yield pa.RecordBatch.from_arrays(columns, ["__id", "__th", "anchor"])
+                hashes = word_hashes(words)
+                if len(up) < len(hashes):
+                    up, down = (powers(b, 2 * len(hashes)) for b in (BASES[1], inverse))
+                sums = np.concatenate(
+                    [np.zeros(1, np.uint64), np.cumsum(mixed(hashes) * up[: len(hashes)], dtype=np.uint64)]
+                )
+                grams = mixed(windows(hashes, anchor, BASES[0]))
+                for at, places in minima(grams, window - anchor + 1):
+                    edges = np.flatnonzero(np.diff(places)) + 1
+                    first = np.concatenate([[0], edges]) + at
+                    last = np.concatenate([edges - 1, [len(places) - 1]]) + at
+                    places = places[first - at]
+                    whole = (sums[last + window] - sums[first]) * down[first]
+                    # Where the anchor lies, and how long the run is, belong to it.
+                    form = (places - first) * 4096 + (last - first)
+                    whole = mixed(whole + mixed(form.astype(np.uint64)))
+                    n = len(first)
+                    for column, values in zip(
+                        out,
+                        (
+                            grams[places].view(np.int64), whole.view(np.int64), np.full(n, doc),
+                            np.full(n, th), first, last,
+                        ),
+                    ):
+                        column.append(values)
+                    size += n
+                if size > HANDED:
+                    yield _batch(RUN, out)
+                    out, size = [[] for _ in range(6)], 0
+            if size:
+                yield _batch(RUN, out)
 
     return run
 
 
-def _hash_windows(window: int, anchor: int):
+def _batch(schema: str, columns: list[list[np.ndarray]]) -> pa.RecordBatch:
+    names = [c.split()[0] for c in schema.split(", ")]
+    arrays = [pa.array(np.concatenate(c).astype(np.int64)) for c in columns]
+    return pa.RecordBatch.from_arrays(arrays, names)
+
+
+WINDOWS = "anchor long, whole long, at long, least long, h1 long, h2 long"
+
+
+def _hash_windows(window: int):
+    """Both hashes of each window of the runs that stand for their classes."""
+
     def run(batches):
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("__id", "__th", "__text")))
-            shared = batch.column("anchors")
-            for (doc, th, text), marks in zip(rows, shared):
-                marks = np.sort(marks.values.to_numpy())
+            out, size = [[] for _ in range(6)], 0
+            for text, runs in zip(batch.column("__text").to_pylist(), batch.column("runs")):
                 values = word_hashes(text.encode().split())
-                other = mixed(values)
-                one, two = windows(values, window, BASES[0]), windows(other, window, BASES[1])
-                for first, last, found in _anchors(values, window, anchor):
-                    at = np.minimum(np.searchsorted(marks, found), len(marks) - 1)
-                    hit = marks[at] == found
-                    steps = np.zeros(last[-1] - first[0] + 2, np.int64)
-                    np.add.at(steps, first[hit] - first[0], 1)
-                    np.add.at(steps, last[hit] + 1 - first[0], -1)
-                    places = np.flatnonzero(np.cumsum(steps)) + first[0]
-                    if len(places):
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(np.full(len(places), doc)), pa.array(np.full(len(places), th)),
-                                pa.array(places.astype(np.int32)),
-                                pa.array(one[places].view(np.int64)), pa.array(two[places].view(np.int64)),
-                            ],
-                            ["__id", "__th", "at", "h1", "h2"],
-                        )
+                one = windows(values, window, BASES[0])
+                two = windows(mixed(values), window, BASES[1])
+                fields = [
+                    runs.values.field(c).to_numpy() for c in ("anchor", "whole", "least", "first", "last")
+                ]
+                for anchor, whole, least, first, last in zip(*fields):
+                    n = last - first + 1
+                    for column, part in zip(
+                        out,
+                        (
+                            np.full(n, anchor), np.full(n, whole), np.arange(n), np.full(n, least),
+                            one[first : last + 1].view(np.int64), two[first : last + 1].view(np.int64),
+                        ),
+                    ):
+                        column.append(part)
+                    size += n
+                if size > HANDED:
+                    yield _batch(WINDOWS, out)
+                    out, size = [[] for _ in range(6)], 0
+            if size:
+                yield _batch(WINDOWS, out)
 
     return run
 
@@ -97,48 +137,56 @@ def _hash_windows(window: int, anchor: int):
 def removed_windows(
     rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
 ) -> DataFrame:
-    """__id, __th and ``starts`` (array): where windows to remove start, by word.
+    """__id, __th and ``runs`` (array of first, last): windows to remove, by their first words.
 
     ``rows`` are ``keyed``; those without an id are left out: no id is smaller than theirs,
     and theirs is smaller than none.
     """
-    named = rows.where(~unknown())
-    anchors = named.mapInArrow(
-        _name_anchors(window, anchor), "__id long, __th long, anchor long"
-    )
+    runs = cut(rows.where(~unknown()).mapInArrow(_runs(window, anchor), RUN))
     shared = (
-        anchors.groupBy("anchor").agg(F.min("__id").alias("lo"), F.max("__id").alias("hi"))
+        runs.groupBy("anchor").agg(F.min("__id").alias("lo"), F.max("__id").alias("hi"))
         .where("lo < hi").select("anchor")
     )
-    by_document = (
-        anchors.join(shared, "anchor", "left_semi").groupBy("__id", "__th")
-        .agg(F.collect_set("anchor").alias("anchors"))
+    places = cut(runs.join(shared, "anchor"))
+    kind = ["anchor", "whole"]
+    at = F.struct("__id", "__th", "first", "last")
+    classes = cut(places.groupBy(*kind).agg(F.min(at).alias("at"))).select(
+        *kind, "at", F.col("at.__id").alias("least")
     )
-    found = (
-        named.join(by_document, ["__id", "__th"])
-        .mapInArrow(
-            _hash_windows(window, anchor), "__id long, __th long, at int, h1 long, h2 long"
-        )
+    members = places.join(classes.select(*kind, "least"), kind)
+    later = members.where(F.col("__id") > F.col("least")).select("__id", "__th", "first", "last")
+    several = classes.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1").select("anchor")
+    standing = (
+        classes.join(several, "anchor")
+        .groupBy(F.col("at.__id").alias("__id"), F.col("at.__th").alias("__th"))
+        .agg(F.collect_list(F.struct(*kind, "least", "at.first", "at.last")).alias("runs"))
     )
-    first = (
-        found.groupBy("h1", "h2").agg(F.min("__id").alias("first"), F.max("__id").alias("last"))
-        .where("first < last").select("h1", "h2", "first")
+    hashed = rows.join(standing, ["__id", "__th"]).mapInArrow(_hash_windows(window), WINDOWS)
+    # Equal rows stand for a class twice; once is enough.
+    hashed = hashed.dropDuplicates([*kind, "at"])
+    counted = hashed.groupBy("h1", "h2").agg(
+        F.min("least").alias("lo"), F.max("least").alias("hi")
+    ).where("lo < hi").select("h1", "h2", "lo")
+    early = hashed.join(counted, ["h1", "h2"]).where("lo < least").select(*kind, "at")
+    first_of_all = members.where(F.col("__id") == F.col("least")).join(early, kind).select(
+        "__id", "__th", (F.col("first") + F.col("at")).alias("first"), (F.col("first") + F.col("at")).alias("last")
     )
-    return (
-        found.join(first, ["h1", "h2"]).where(F.col("__id") > F.col("first"))
-        .groupBy("__id", "__th").agg(F.collect_set("at").alias("starts"))
+    return later.unionByName(first_of_all).groupBy("__id", "__th").agg(
+        F.collect_list(F.struct("first", "last")).alias("runs")
     )
 
 
-def _intervals(starts, window: int) -> list[tuple[int, int]]:
+def _intervals(runs, window: int) -> list[tuple[int, int]]:
     """Maximal runs of words covered by the windows."""
-    starts = np.sort(np.asarray(starts, np.int64))
-    if not len(starts):
+    if not runs.is_valid:
         return []
-    breaks = np.flatnonzero(np.diff(starts) > window) + 1
-    lows = starts[np.concatenate([[0], breaks])]
-    highs = starts[np.concatenate([breaks - 1, [len(starts) - 1]])] + window
-    return list(zip(lows.tolist(), highs.tolist()))
+    first, last = (runs.values.field(c).to_numpy() for c in ("first", "last"))
+    order = np.argsort(first, kind="stable")
+    lows, highs = first[order], np.maximum.accumulate(last[order]) + window
+    breaks = np.flatnonzero(lows[1:] > highs[:-1]) + 1
+    starts = lows[np.concatenate([[0], breaks])].tolist()
+    ends = highs[np.concatenate([breaks - 1, [len(highs) - 1]])].tolist()
+    return list(zip(starts, ends))
 
 
 #: A word of the rule, in text.
@@ -148,10 +196,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 def _cut_out(window: int, layout: bool):
     def run(batches):
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("__text", "starts")))
             kept, spans, counts = [], [], []
-            for text, starts in rows:
-                runs = _intervals(starts or [], window)
+            for text, found in zip(batch.column("__text").to_pylist(), batch.column("runs")):
+                runs = _intervals(found, window)
                 if not runs and layout:
                     kept.append(text)
                     counts.append(len(text.encode().split()))
@@ -193,8 +240,7 @@ def substring_dedup(
     table gives an empty result; equal rows get equal results.
     """
     rows = keyed(documents)
-    starts = removed_windows(rows, window, anchor)
-    return rows.join(starts, ["__id", "__th"], "left").mapInArrow(
+    return rows.join(removed_windows(rows, window, anchor), ["__id", "__th"], "left").mapInArrow(
         _cut_out(window, layout),
         "__id long, __th long, kept string, n_words long, spans array<struct<start: long, end: long>>",
     )
