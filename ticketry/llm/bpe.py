@@ -17,13 +17,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketry.llm.common import keyed
+from ticketry.llm.common import cut, keyed
 from ticketry.llm.tokens import default_path, encoder, load, token_texts
 
 #: One of so many places is a cut (a power of two): the mean length of a chunk in bytes.
 CHUNK = 1024
 GRAM = 8
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
+#: Rows that take the ids of a chunk from one copy.
+HOLDERS = 1000
 #: Bytes of results handed over at a time.
 HANDED = 1 << 23
 
@@ -87,17 +89,18 @@ def _encode_owned(path: str):
     def run(batches):
         encode = encoder(path)
         for batch in batches:
-            names, ids = [], []
+            names, times, ids = [], [], []
             for text, owned in zip(batch.column("__text").to_pylist(), batch.column("owned").to_pylist()):
-                wanted = set(owned)
+                wanted = {o["chunk"]: o["n"] for o in owned}
                 for chunk in chunks(text.encode()):
-                    key = name(chunk)
-                    if key in wanted:
-                        wanted.discard(key)
-                        names.append(key)
+                    n = wanted.pop(name(chunk), None)
+                    if n:
+                        names.append(name(chunk))
+                        times.append(n)
                         ids.append(encode(chunk))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.binary()), pa.array(ids, pa.binary())], ["chunk", "ids"]
+                [pa.array(names, pa.binary()), pa.array(times, pa.int64()), pa.array(ids, pa.binary())],
+                ["chunk", "n", "ids"],
             )
 
     return run
@@ -152,17 +155,25 @@ def encode(documents: DataFrame, path: str | None = None, decode: bool = True) -
     key = ["__id", "__th"]
     texts = keyed(documents)
     held = texts.mapInArrow(_name_chunks, "__id long, __th long, chunk binary")
-    shared = (
+    shared = cut(
         held.groupBy("chunk").agg(F.count("*").alias("n"), F.min(F.struct(*key)).alias("owner"))
         .where("n > 1")
     )
-    owners = shared.groupBy("owner.__id", "owner.__th").agg(F.collect_list("chunk").alias("owned"))
+    owners = shared.groupBy("owner.__id", "owner.__th").agg(
+        F.collect_list(F.struct("chunk", "n")).alias("owned")
+    )
     once = (
-        texts.join(owners, key).mapInArrow(_encode_owned(path), "chunk binary, ids binary")
+        texts.join(owners, key).mapInArrow(_encode_owned(path), "chunk binary, n long, ids binary")
         .dropDuplicates(["chunk"])
     )
+    # A chunk that very many rows hold is handed out from several copies of its ids.
+    copies = lambda n: F.ceil(n / HOLDERS)
+    once = once.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies(F.col("n")))))
+    holders = held.join(shared.select("chunk", "n"), "chunk").withColumn(
+        "copy", F.pmod(F.xxhash64(*key), copies(F.col("n"))) + 1
+    )
     handed = (
-        held.join(once, "chunk").groupBy(*key)
+        holders.drop("n").join(once.drop("n"), ["chunk", "copy"]).groupBy(*key)
         .agg(F.collect_list(F.struct("chunk", "ids")).alias("shared"))
     )
     return texts.join(handed, key, "left").mapInArrow(
