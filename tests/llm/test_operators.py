@@ -78,7 +78,8 @@ def same(found, wanted):
     assert sorted(map(tuple, found), key=repr) == sorted(map(tuple, wanted), key=repr)
 
 
-REMOVED = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+def removed():
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
 
 
 @pytest.mark.parametrize("ordered", [4096, 3])
@@ -86,7 +87,7 @@ def test_suffix_dedup(docs, rows, none, monkeypatch, ordered):
     # With 3, centres of more classes take the way of counting each string.
     monkeypatch.setattr("ticketry.llm.suffix_dedup.ORDERED", ordered)
     found = suffix_dedup(clashing(docs))
-    columns = (doc_id(), "n_bytes", REMOVED, F.size("spans"), F.sha2("kept", 256))
+    columns = (doc_id(), "n_bytes", removed(), F.size("spans"), F.sha2("kept", 256))
     same(got(found, *columns), brute.suffix_dedup(rows))
     assert suffix_dedup(none).count() == 0
 
@@ -102,13 +103,13 @@ def test_suffix_dedup_of_edited_copies(spark):
         at, to = sorted(chance.sample(range(len(t)), 2))
         texts.append((i, "".join(t[at:to]) + "".join(chance.choices("xyz", k=60))))
     found = suffix_dedup(spark.createDataFrame(texts, "doc_id long, text string"))
-    columns = (doc_id(), "n_bytes", REMOVED, F.size("spans"), F.sha2("kept", 256))
+    columns = (doc_id(), "n_bytes", removed(), F.size("spans"), F.sha2("kept", 256))
     same(got(found, *columns), brute.suffix_dedup(texts))
 
 
 def test_substring_dedup(docs, rows, none):
     found = substring_dedup(clashing(docs), layout=False)
-    same(got(found, doc_id(), "n_words", REMOVED, F.sha2("kept", 256)), brute.substring_dedup(rows))
+    same(got(found, doc_id(), "n_words", removed(), F.sha2("kept", 256)), brute.substring_dedup(rows))
     assert substring_dedup(none).count() == 0
     kept = without_repeats(clashing(docs))
     assert kept.columns == clashing(docs).columns and kept.count() == len(rows)
@@ -206,7 +207,7 @@ def test_packing(docs, rows, none):
             assert offset == at
             at += length
         assert at <= 512
-    assert len(sequences) <= -(-sum(r.length for r in found) // 512) + 1
+    assert len(sequences) <= 1.1 * sum(r.length for r in found) / 512
     assert pack(none).count() == 0
 
 

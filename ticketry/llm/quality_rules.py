@@ -122,11 +122,19 @@ def measured(documents: DataFrame) -> DataFrame:
     return rows.withColumn("__m", counts).drop("__t", "__w", "__g", "__o", "__s", "__p", "__l")
 
 
+def _dropped(value: Column) -> Column:
+    return F.greatest(F.length(F.bin(value)) - LEADING, F.lit(0))
+
+
 def bucket(value: Column) -> Column:
     """The least value that shares the leading bits (whole numbers, 0 or more)."""
-    drop = F.greatest(F.length(F.bin(value)) - LEADING, F.lit(0))
-    cut_off = F.call_function("shiftright", value, drop)
-    return F.call_function("shiftleft", cut_off, drop)
+    kept = F.call_function("shiftright", value, _dropped(value))
+    return F.call_function("shiftleft", kept, _dropped(value))
+
+
+def bucket_end(edge: Column) -> Column:
+    """The greatest value of the bucket that starts at ``edge``."""
+    return edge + F.call_function("shiftleft", F.lit(1).cast("long"), _dropped(edge)) - 1
 
 
 def sketches(measures: DataFrame) -> DataFrame:
@@ -166,12 +174,12 @@ def fences(sketch: DataFrame, enough: int = ENOUGH) -> DataFrame:
     at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("total") * q, F.col("edge")))
     quartiles = counted.groupBy(*group).agg(
         F.max("total").alias("total"), at(1).alias("q1"), at(2).alias("q2"), at(3).alias("q3")
-    ).where((F.col("total") >= enough) | (F.col("level") == 0))
+    ).withColumn("q3_end", bucket_end(F.col("q3"))).where((F.col("total") >= enough) | (F.col("level") == 0))
     out = []
     for m in MEASURES:
         mine = lambda c: F.max(F.when(F.col("measure") == m.name, F.col(c)))  # noqa: B023,E731
         spread = F.greatest(mine("q3") - mine("q1"), F.floor(mine("q2") * m.spread / 1000))
-        out.append(F.greatest(mine("q3") + REACH * spread, F.lit(m.at_most)).alias(f"{m.name}_high"))
+        out.append(F.greatest(mine("q3_end") + REACH * spread, F.lit(m.at_most)).alias(f"{m.name}_high"))
         low = F.lit(None).cast("long") if m.at_least is None else F.least(
             mine("q1") - REACH * spread, F.lit(m.at_least)
         )

@@ -107,7 +107,7 @@ def _fences() -> str:
     for m in MEASURES:
         spread = f"greatest(q3 - q1, floor(q2 * {m.spread} / 1000))"
         at = lambda e: f"max(CASE WHEN measure = '{m.name}' THEN {e} END)"  # noqa: B023,E731
-        out.append(f"greatest({at(f'q3 + {REACH} * {spread}')}, {m.at_most}) AS {m.name}_high")
+        out.append(f"greatest({at(f'q3 + (1::BIGINT << greatest(length(bin(q3)) - {LEADING}, 0)::INT) - 1 + {REACH} * {spread}')}, {m.at_most}) AS {m.name}_high")
         low = "NULL" if m.at_least is None else f"least({at(f'q1 - {REACH} * {spread}')}, {m.at_least})"
         out.append(f"{low} AS {m.name}_low")
     return ", ".join(out)
