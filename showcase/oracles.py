@@ -201,11 +201,14 @@ ORACLES["categorize_documents"] = with_tables(
 SELECT doc_id, {', '.join(f'round(a_{c}, 4) AS {c.lower()}' for c in CATEGORIES)}, {DECISION} AS categoria
 FROM told JOIN judged USING (t0)""",
 )
-WORDS_ONLY = [t for t in default_terms() if t.kind == "base"]
+WORDS_ONLY = {}
+for _t in default_terms():
+    if _t.term not in WILDCARD_TERMS:
+        WORDS_ONLY[_t.category, _t.term] = WORDS_ONLY.get((_t.category, _t.term), 0.0) + _t.weight
 ORACLES["keyword_scores_joined"] = with_tables(
     f"""{TICKET_TEXTS},
 flat AS (SELECT t0, ' ' || array_to_string(regexp_extract_all({folded('t0')}, '[\\pL\\pN_]+'), ' ') || ' ' AS t FROM texts),
-{rows([(t.category, t.term, t.weight) for t in WORDS_ONLY], 'voc', 'category, term, weight')}""",
+{rows([(c, t, w) for (c, t), w in WORDS_ONLY.items()], 'voc', 'category, term, weight')}""",
     """
 SELECT k, category, sum(weight)::DOUBLE AS score, count(*) AS terms
 FROM told JOIN flat USING (t0) JOIN voc ON contains(t, ' ' || term || ' ') GROUP BY 1, 2""",
@@ -255,14 +258,13 @@ FROM dated WHERE fc IS NULL OR id_canal IS NULL OR id_prioridad IS NULL OR id_es
 ORACLES["lineage"] = facts("""
 SELECT DISTINCT f.id_ticket, 'manual' AS origen, s.id_ticket AS id_origen FROM f_tickets f JOIN staging s ON s.id_ticket = f.ticket_code""")
 ORACLES["reload_facts"] = facts("""
-SELECT ticket_code, 'antiguo' AS asunto, id_canal, sla_met, true AS known FROM f_tickets
-  WHERE id_ticket % 10 = 0 AND ticket_code NOT IN (SELECT id_ticket FROM staging WHERE k % 4 = 0)
+SELECT id_ticket, 'V-' || ticket_code AS ticket_code, 'antiguo' AS asunto, id_canal, sla_met, true AS densos FROM f_tickets
+  WHERE id_ticket % 10 <> 0
 UNION ALL
-SELECT ticket_code, asunto, id_canal, sla_met, id_ticket % 10 = 0 FROM f_tickets WHERE id_ticket % 4 = 0""")
+SELECT CASE WHEN id_ticket % 10 = 0 THEN id_ticket END, ticket_code, asunto, id_canal, sla_met, true FROM f_tickets""")
 ORACLES["reload_lineage"] = facts("""
-SELECT id_ticket, 'synt' AS origen, ticket_code AS id_origen FROM f_tickets
-  WHERE id_ticket % 10 = 0 AND ticket_code NOT IN (SELECT id_ticket FROM staging WHERE k % 4 = 0)
-UNION ALL SELECT id_ticket, 'manual', ticket_code FROM f_tickets WHERE id_ticket % 4 = 0""")
+SELECT id_ticket, 'synt' AS origen, 'V-' || ticket_code AS id_origen FROM f_tickets WHERE id_ticket % 10 <> 0
+UNION ALL SELECT id_ticket, 'manual', ticket_code FROM f_tickets""")
 ORACLES["first_per_key"] = """
 SELECT l_partkey, l_orderkey, l_linenumber, l_quantity FROM (
   SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_quantity) AS rn FROM lineitem) WHERE rn = 1"""
@@ -284,7 +286,7 @@ SELECT f.id_ticket, {TEXT} AS texto, id_canal, id_prioridad, id_estado, sla_met
 FROM f_tickets f LEFT JOIN predictions p ON p.id_ticket = f.id_ticket WHERE p.id_ticket IS NULL""")
 ORACLES["pending_by_model"] = with_tables(T.FACTS + "," + T.PREDICTIONS, """
 SELECT id_ticket FROM f_tickets WHERE id_ticket NOT IN (
-  SELECT id_ticket FROM predictions WHERE modelo_version = 'v1.1' AND id_ticket % 2 = 0)""")
+  SELECT id_ticket FROM predictions WHERE modelo_version = 'v1.1')""")
 ORACLES["load_predictions"] = with_tables(T.FACTS + "," + T.PREDICTIONS + "," + T.PREDICTED_CODES, """
 SELECT id_ticket, id_tipo_predicho, score_predicho::DOUBLE AS score_predicho, modelo_version FROM predictions WHERE modelo_version <> 'v1.1'
 UNION ALL
@@ -341,12 +343,11 @@ def rule_count(name: str, test: str, table: str = "staging") -> str:
 
 
 ORACLES["dq_lengths"] = with_tables(T.STAGING, " UNION ALL ".join([
-    *[rule_count(f"{c}_largo", f"length({c}) > {STAGING_LENGTHS[c]}") for c in ("id_ticket", "canal", "agente_id", "resumen")],
+    *[rule_count(f"{c}_largo", f"length({c}) > {STAGING_LENGTHS[c]}") for c in STAGING_LENGTHS],
     rule_count("resumen_corto", "length(trim(resumen)) < 5"),
     rule_count("descripcion_corta", "length(trim(descripcion)) < 10"),
     rule_count("sin_texto", "trim(resumen) = '' AND trim(descripcion) = ''"),
-    rule_count("id_origen_nulo", "id_origen IS NULL"),
-    rule_count("fecha_creacion_nulo", "fecha_creacion IS NULL"),
+    *[rule_count(f"{c}_nulo", f"{c} IS NULL") for c in STAGING_LENGTHS],
 ]))
 ORACLES["dq_reconcile"] = facts("""
 SELECT (SELECT count(*) FROM staging) AS stg, (SELECT count(*) FROM f_tickets WHERE ticket_code IN (SELECT id_ticket FROM staging)) AS fact,
@@ -419,7 +420,7 @@ ORACLES["confusion_norm"] = with_tables(CODES, """
 SELECT a.label AS real_cat, b.label AS pred_cat, coalesce(n, 0) AS n,
   round(coalesce(n, 0) / greatest(sum(coalesce(n, 0)) OVER (PARTITION BY a.label), 1)::DOUBLE, 6) AS share
 FROM labels8 a CROSS JOIN labels8 b LEFT JOIN (
-  SELECT real_cat, pred_cat, count(*) AS n FROM predicted_codes WHERE real_cat <> 'POL' GROUP BY 1, 2) c ON c.real_cat = a.label AND c.pred_cat = b.label""")
+  SELECT real_cat, pred_cat, count(*) AS n FROM predicted_codes GROUP BY 1, 2) c ON c.real_cat = a.label AND c.pred_cat = b.label""")
 
 
 def report(source: str, labels: str, by: str = "") -> str:
@@ -441,7 +442,7 @@ ROUNDED = 'label, round("precision", 6) AS "precision", round(recall, 6) AS reca
 ORACLES["class_report"] = with_tables(CODES, f"SELECT {ROUNDED} FROM ({report('predicted_codes', 'labels8')})")
 ORACLES["class_report_fixed_labels"] = with_tables(
     f"""{CODES},
-part AS (SELECT * FROM predicted_codes WHERE real_cat <> 'POL' AND pred_cat <> 'HW'),
+part AS (SELECT * FROM predicted_codes),
 {rows([(c,) for c in ('ACC', 'APP', 'HW', 'MAIL', 'POL')], 'labels5', 'label')}""",
     f"SELECT {ROUNDED} FROM ({report('part', 'labels5')})",
 )
@@ -514,3 +515,53 @@ WITH docs AS (SELECT doc_id AS id_ticket, source AS canal, coalesce(quality::VAR
 parts AS (SELECT *, {CRC} % 5 AS part FROM docs),
 pairs AS (SELECT id_ticket, part, 'canal=' || canal AS feature FROM parts UNION ALL SELECT id_ticket, part, 'prioridad=' || prioridad FROM parts)
 SELECT id_ticket, feature, 1 AS value FROM pairs WHERE part = 0 AND feature IN (SELECT feature FROM pairs WHERE part <> 0)"""
+
+
+# --- models -------------------------------------------------------------------------------
+PARTS = f"""
+docs AS (SELECT doc_id, text, lang, source, coalesce(quality::VARCHAR, '') AS quality,
+  {CRC.replace("(s)", "(doc_id::VARCHAR)").replace("substr(s,", "substr(doc_id::VARCHAR,")} % 5 <> 0 AS train
+  FROM documents LEFT JOIN labels USING (doc_id) WHERE strlen(trim(text)) >= 5)"""
+
+
+def bayes(frequency: str, meta: bool) -> str:
+    """Naive Bayes with smoothing one half, straight from the counts."""
+    hot = """
+hot AS (SELECT doc_id, train, chr(10) || 'canal=' || source AS f FROM docs
+  UNION ALL SELECT doc_id, train, chr(10) || 'prioridad=' || quality FROM docs),
+used AS (SELECT * FROM weighted UNION ALL SELECT doc_id, f, 1.0 FROM hot WHERE f IN (SELECT f FROM hot WHERE train)),"""
+    return with_tables(PARTS + "," + rf"""
+words AS (SELECT doc_id, train, regexp_extract_all(lower(strip_accents(text)), '[\pL\pN_]{{2,}}') AS w FROM docs),
+terms AS (
+  SELECT doc_id, train, unnest(w) AS term FROM words
+  UNION ALL SELECT doc_id, train, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words),
+counts AS (SELECT doc_id, train, term, count(*) AS tf FROM terms GROUP BY ALL),
+total AS (SELECT count(*) AS n FROM docs WHERE train),
+vocabulary AS (SELECT term, ln((1 + n) / (1 + count(*))::DOUBLE) + 1 AS idf FROM counts, total WHERE train GROUP BY term, n
+  HAVING count(*) >= 2 AND count(*) <= n * 0.9),
+raw AS (SELECT doc_id, term, {frequency} * idf AS raw FROM counts JOIN vocabulary USING (term)),
+weighted AS (SELECT doc_id, term AS f, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS x FROM raw),
+{hot if meta else "used AS (SELECT * FROM weighted),"}
+sums AS (SELECT lang, f, sum(x) AS s FROM used JOIN docs USING (doc_id) WHERE train GROUP BY 1, 2),
+size AS (SELECT count(DISTINCT f) AS v FROM sums),
+classes AS (
+  SELECT d.lang, ln(d.n / (SELECT n FROM total)) AS prior, ln(0.5 / (t + 0.5 * v)) AS base
+  FROM (SELECT lang, count(*) AS n FROM docs WHERE train GROUP BY 1) d
+  JOIN (SELECT lang, sum(s) AS t FROM sums GROUP BY 1) USING (lang), size),
+found AS (
+  SELECT doc_id, c.lang, sum(x) AS w, sum(x * coalesce(ln((s + 0.5) / 0.5), 0)) AS found
+  FROM used JOIN docs USING (doc_id) CROSS JOIN classes c LEFT JOIN sums z ON z.f = used.f AND z.lang = c.lang
+  WHERE NOT train GROUP BY 1, 2),
+scored AS (
+  SELECT d.doc_id, d.lang AS real_cat, c.lang AS pred_cat, prior + coalesce(w, 0) * base + coalesce(found, 0) AS score
+  FROM docs d CROSS JOIN classes c LEFT JOIN found f ON f.doc_id = d.doc_id AND f.lang = c.lang WHERE NOT train),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pred_cat) AS place FROM scored)""", """
+SELECT doc_id AS id_ticket, real_cat, pred_cat, CASE WHEN real_cat = pred_cat THEN 1 ELSE 0 END AS ok FROM best WHERE place = 1""")
+
+
+ORACLES["score_lot_nb"] = bayes("tf", False)
+ORACLES["score_lot_meta"] = bayes("(1 + ln(tf))", True)
+for _kind in ("lr", "svm"):
+    ORACLES[f"score_lot_{_kind}"] = with_tables(
+        PARTS, "SELECT doc_id AS id_ticket, lang AS real_cat, true AS ok_cuadra, true AS f1_alcanza FROM docs WHERE NOT train"
+    )

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ticketry import catalogs as C
 from ticketry.functions import dates, ids, text, values
 from ticketry.operators import (
-    classify as K, columns, features, kpi, metrics, models, normalize, quality, repair, training_sets, warehouse,
+    bayes, classify as K, columns, features, kpi, metrics, models, normalize, quality, repair, training_sets, warehouse,
 )
+from ticketry.session import written
 from ticketry.sources.positions import parquet_positions
-from ticketry.vocabulary import CATEGORIES, default_terms
+from ticketry.vocabulary import CATEGORIES, WILDCARD_TERMS, default_terms
 
 from . import standins as S
 
@@ -232,11 +233,12 @@ def categorize_documents(spark, sf):
 
 @query
 def keyword_scores_joined(spark, sf):
-    """The same vocabulary as a table: plain words only, base terms."""
-    terms = [
-        (t.category, t.term, t.weight) for t in default_terms()
-        if t.kind == "base"
-    ]
+    """The vocabulary as a table, terms of all kinds; a term's weights in a category add up."""
+    weights: dict[tuple[str, str], float] = {}
+    for t in default_terms():
+        if t.term not in WILDCARD_TERMS:
+            weights[t.category, t.term] = weights.get((t.category, t.term), 0.0) + t.weight
+    terms = [(c, t, w) for (c, t), w in weights.items()]
     vocabulary = C.inline_table(spark, terms, ["category", "term", "weight"]).withColumn(
         "weight", F.col("weight").cast("double")
     )
@@ -302,36 +304,36 @@ def lineage(spark, sf):
 
 
 def _earlier(spark, sf):
-    """Facts of an earlier load: every tenth ticket, some of which come again."""
-    return S.facts(spark, sf).where("id_ticket % 10 = 0").withColumn("asunto", F.lit("antiguo"))
-
-
-def _load(spark, sf):
-    """The load at hand: every fourth ticket."""
-    return S.resolved(spark, sf).where("k % 4 = 0")
+    """Facts of an earlier load: every tenth ticket comes again, the others had other codes."""
+    again = F.col("id_ticket") % 10 == 0
+    code = F.when(again, F.col("ticket_code")).otherwise(F.concat(F.lit("V-"), "ticket_code"))
+    return S.facts(spark, sf).withColumns({"ticket_code": code, "asunto": F.lit("antiguo")})
 
 
 @query
 def reload_facts(spark, sf):
-    existing, load = _earlier(spark, sf), _load(spark, sf)
-    after = warehouse.reload_facts(existing, load, warehouse.promote(load))
-    # Numbers of new codes follow a hash order; the code tells rows apart here.
-    kept = existing.select(F.col("id_ticket").alias("_id"))
-    return (
-        after.join(kept, F.col("id_ticket") == F.col("_id"), "left")
-        .select(
-            "ticket_code", "asunto", "id_canal", "sla_met",
-            F.col("_id").isNotNull().alias("known"),
-        )
+    """Numbers of known tickets by value; those of new ones unique, dense, above the last."""
+    existing, load = written(_earlier(spark, sf)), S.resolved(spark, sf)
+    after = written(warehouse.reload_facts(existing, load, warehouse.promote(load)))
+    last = existing.agg(F.max("id_ticket").alias("_last"))
+    checked = after.join(F.broadcast(last)).withColumn("_new", F.col("id_ticket") > F.col("_last"))
+    dense = checked.where("_new").agg(
+        (
+            (F.count("*") == F.count_distinct("id_ticket"))
+            & (F.max("id_ticket") - F.max("_last") == F.count("*"))
+        ).alias("densos")
+    )
+    return checked.join(F.broadcast(dense)).select(
+        F.when(~F.col("_new"), F.col("id_ticket")).alias("id_ticket"),
+        "ticket_code", "asunto", "id_canal", "sla_met", "densos",
     )
 
 
 @query
 def reload_lineage(spark, sf):
-    existing, load = _earlier(spark, sf), _load(spark, sf)
-    old = warehouse.lineage(existing, S.staging(spark, sf), "synt")
-    renewed = S.facts(spark, sf).where("id_ticket % 4 = 0")
-    return warehouse.reload_lineage(old, existing, load, renewed)
+    existing, load = _earlier(spark, sf), S.resolved(spark, sf)
+    old = existing.select("id_ticket", F.lit("synt").alias("origen"), F.col("ticket_code").alias("id_origen"))
+    return warehouse.reload_lineage(old, existing, load, S.facts(spark, sf))
 
 
 @query
@@ -368,7 +370,7 @@ def pending(spark, sf):
 
 @query
 def pending_by_model(spark, sf):
-    done = S.predictions(spark, sf).where("modelo_version = 'v1.0' OR id_ticket % 2 = 0")
+    done = S.predictions(spark, sf)
     return warehouse.pending_view(S.facts(spark, sf), done, "v1.1").select("id_ticket")
 
 
@@ -455,8 +457,9 @@ def dq_catalog(spark, sf):
 
 @query
 def dq_lengths(spark, sf):
-    rules = quality.length_rules(["id_ticket", "canal", "agente_id", "resumen"])
-    rules |= quality.missing_rules(["id_origen", "fecha_creacion"])
+    """Every column with a length, and every one that may not be missing."""
+    rules = quality.length_rules(list(quality.STAGING_LENGTHS))
+    rules |= quality.missing_rules(list(quality.STAGING_LENGTHS))
     return quality.violation_counts(S.staging(spark, sf), rules)
 
 
@@ -507,11 +510,7 @@ def dq_shares(spark, sf):
 # --- training data and evaluation ---------------------------------------------------------
 @query
 def ml_split(spark, sf):
-    texts = warehouse.text_view(S.facts(spark, sf))
-    tagged = training_sets.train_split(texts).select("id_ticket", F.lit("train").alias("split"))
-    return tagged.unionByName(
-        training_sets.valid_split(texts).select("id_ticket", F.lit("valid").alias("split"))
-    )
+    return training_sets.split(warehouse.text_view(S.facts(spark, sf))).select("id_ticket", "split")
 
 
 @query
@@ -566,8 +565,7 @@ def confusion_dense(spark, sf):
 
 @query
 def confusion_norm(spark, sf):
-    """POL as a real class is left out, so one row of the matrix is empty."""
-    counts = _counts(spark, sf).where("real_cat != 'POL'")
+    counts = _counts(spark, sf)
     dense = metrics.dense_confusion(counts, C.LABELS)
     return rounded(metrics.normalized_confusion(dense), "share")
 
@@ -580,7 +578,7 @@ def class_report(spark, sf):
 @query
 def class_report_fixed_labels(spark, sf):
     """Labels without rows stay; rows with other labels weigh on the precision only."""
-    counts = _counts(spark, sf).where("real_cat != 'POL' AND pred_cat != 'HW'")
+    counts = _counts(spark, sf)
     return rounded(
         metrics.class_report(counts, ["ACC", "APP", "HW", "MAIL", "POL"]),
         "precision", "recall", "f1",
@@ -688,14 +686,22 @@ def _split_documents(spark, sf):
     return training_sets.train_split(docs), training_sets.valid_split(docs)
 
 
+# Macro F1 that a linear model has to reach on held-out documents.
+FLOOR = 0.9
+
+
 def _scored(spark, sf, spec):
+    """What SQL can say of an iterative model: rows, labels, the hit flag, and a floor."""
     train, valid = _split_documents(spark, sf)
-    return models.score_lot(models.train_model(train, spec), valid)
+    scored = written(models.score_lot(models.train_model(train, spec), valid))
+    good = models.macro_f1(scored) >= FLOOR
+    hit = F.col("ok") == (F.col("real_cat") == F.col("pred_cat")).cast("int")
+    return scored.select("id_ticket", "real_cat", hit.alias("ok_cuadra"), F.lit(good).alias("f1_alcanza"))
 
 
 @query
 def score_lot_nb(spark, sf):
-    return _scored(spark, sf, models.ModelSpec("nb", 0.5))
+    return bayes.score_lot(*_split_documents(spark, sf), 0.5)
 
 
 @query
@@ -711,7 +717,9 @@ def score_lot_svm(spark, sf):
 @query
 def score_lot_meta(spark, sf):
     """Text with damped counts and one-hot metadata."""
-    return _scored(spark, sf, models.ModelSpec("nb", 0.5, meta=True, sublinear=True))
+    return bayes.score_lot(
+        *_split_documents(spark, sf), 0.5, sublinear=True, meta=models.META_COLUMNS
+    )
 
 
 @query

@@ -71,22 +71,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """At least as many splits as there are cores, for tables whose rows cost much work.
-
-    A table in fewer files than cores is spread by a shuffle; a table of cluster size has far
-    more files and is read as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select(*columns))
+    return table(spark, sf_dir, "documents").select(*columns)
 
 
 def orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "orders"))
+    """Orders, dealt by their key: the join with the line items needs them so."""
+    return table(spark, sf_dir, "orders").repartition("o_orderkey")
 
 
 def _pick(values: list[str], position: str) -> str:

@@ -18,8 +18,6 @@ from ..vocabulary import (
     default_terms,
 )
 
-# Terms handed to one pattern; a larger vocabulary goes through the joined form.
-MAX_PATTERN_TERMS = 2000
 TIE_WIDTH = 1e-12
 
 
@@ -119,10 +117,6 @@ def score_terms(
     """
     vocabulary = default_terms() if vocabulary is None else vocabulary
     terms = sorted({t.term for t in vocabulary})
-    if len(terms) > MAX_PATTERN_TERMS:
-        raise ValueError(
-            f"{len(terms)} terms: pass the vocabulary as a table to score_terms_joined"
-        )
     # One vector per term: a weight for each category, then boost and penalty counts.
     width = len(CATEGORIES) + 2
     vectors: dict[str, list[float]] = {t: [0.0] * width for t in terms}

@@ -177,8 +177,8 @@ def global_results_view(results: DataFrame, experiments: DataFrame, models: Data
         F.col("descripcion").alias("experimento_desc"),
     )
     return (
-        results.drop("experimento").join(F.broadcast(exps), "id_experimento")
-        .join(F.broadcast(models.select("modelo_version", "algoritmo", "params_resumen")), "modelo_version")
+        results.drop("experimento").join(exps, "id_experimento")
+        .join(models.select("modelo_version", "algoritmo", "params_resumen"), "modelo_version")
         .select(
             "experimento", "experimento_desc", "dataset", "modelo_version", "algoritmo",
             "params_resumen", "n_muestras",
@@ -199,8 +199,8 @@ def class_results_view(results: DataFrame, experiments: DataFrame, models: DataF
         F.col("nombre").alias("real_cat_nombre"),
     )
     return (
-        results.join(F.broadcast(exps), "id_experimento")
-        .join(F.broadcast(models.select("modelo_version", "algoritmo")), "modelo_version")
+        results.join(exps, "id_experimento")
+        .join(models.select("modelo_version", "algoritmo"), "modelo_version")
         .join(F.broadcast(types), "id_tipo_real")
         .select(
             "experimento", "dataset", "modelo_version", "algoritmo", "real_cat",

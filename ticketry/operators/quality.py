@@ -72,24 +72,19 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str,
-            small_parent: bool = False) -> DataFrame:
-    """Rows whose non-null reference has no parent. Broadcast only fixed-size parents."""
+def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Rows whose non-null reference has no parent."""
     keys = parent.select(F.col(parent_column).alias("_key"))
-    if small_parent:
-        keys = F.broadcast(keys)
     return df.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_key"), "left_anti")
 
 
 def orphan_counts(df: DataFrame, references: dict[str, DataFrame]) -> DataFrame:
-    """(reference, rows without parent) for several fixed dimensions in one scan.
+    """(reference, rows without parent) for several dimensions in one scan.
 
     ``references`` maps a column to a dimension whose first column is its key.
     """
     for column, dim in references.items():
-        keys = F.broadcast(
-            dim.select(F.col(dim.columns[0]).alias(f"_k_{column}"))
-        )
+        keys = dim.select(F.col(dim.columns[0]).alias(f"_k_{column}"))
         df = df.join(keys, F.col(column) == F.col(f"_k_{column}"), "left")
     return violation_counts(
         df,
@@ -189,15 +184,27 @@ def sla_rules() -> dict[str, Column]:
     return {"sla_incoherente": flag != kept}
 
 
+def _repeated(rows: DataFrame, text: str, count: str) -> DataFrame:
+    """(text, rows) of the texts that more than one row holds.
+
+    Texts are counted by a 128-bit hash, so that only hashes travel; the text of a repeated one
+    is fetched by its hash, one copy of it.
+    """
+    hashed = rows.select(F.md5(text).alias("_h"), F.col(text))
+    several = hashed.groupBy("_h").agg(F.count("*").alias(count)).where(F.col(count) > 1)
+    # A copy of each is reduced where it is read; texts that occur once never travel.
+    found = hashed.join(several, "_h", "left_semi").groupBy("_h").agg(F.min(text).alias(text))
+    return found.join(several, "_h").select(text, count)
+
+
 def repeated_texts(df: DataFrame, column: str) -> DataFrame:
-    return duplicate_keys(df.where(strip_blank(F.col(column)) != ""), [column])
+    return _repeated(df.where(strip_blank(F.col(column)) != ""), column, "n")
 
 
 def repeated_sentences(df: DataFrame, text: str) -> DataFrame:
     """(sentence, rows) for sentences found in more than one row.
 
-    Repetitions inside a row are removed in place, so counting needs one shuffle, and copies
-    are reduced before it.
+    Repetitions inside a row are removed in place, and counted by hash.
     """
     sentences = df.select(
         F.explode_outer(  # the plain form would split each text twice, to test for emptiness
@@ -206,7 +213,7 @@ def repeated_sentences(df: DataFrame, text: str) -> DataFrame:
             )
         ).alias("oracion")
     ).where("oracion != ''")
-    return sentences.groupBy("oracion").agg(F.count("*").alias("filas")).where("filas > 1")
+    return _repeated(sentences, "oracion", "filas")
 
 
 # Expected share of each category, lowest and highest per cent.

@@ -17,6 +17,12 @@ def split_part(key: Column) -> Column:
     return (F.crc32(key.cast("string").cast("binary")) % SPLIT_PARTS).cast("int")
 
 
+def split(texts: DataFrame, key: str = "id_ticket", text: str = "texto") -> DataFrame:
+    """Usable texts with their ``split``, train or valid, in one pass."""
+    side = F.when(split_part(F.col(key)) == 0, F.lit("valid")).otherwise(F.lit("train"))
+    return texts.where(usable_text(F.col(text))).withColumn("split", side)
+
+
 def train_split(texts: DataFrame, key: str = "id_ticket", text: str = "texto") -> DataFrame:
     return texts.where(usable_text(F.col(text)) & (split_part(F.col(key)) != 0))
 

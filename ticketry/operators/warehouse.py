@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import catalogs as C
 from ..functions import values
 from ..functions.dates import minutes_between, moment, staging_datetime
-from ..functions.ids import ticket_numbers
+from ..functions.ids import spread_row_number
 from ..functions.text import match_key, model_text, ticket_label
+from ..session import written
 
 FACT_COLUMNS = [
     "id_ticket", "ticket_code", "id_canal", "id_prioridad", "id_estado", "id_tipo_real",
@@ -140,13 +141,45 @@ def staged_codes(staging: DataFrame) -> DataFrame:
 def reload_facts(existing: DataFrame, staging: DataFrame, promoted: DataFrame) -> DataFrame:
     """The fact table after a load: rows of the staged codes are replaced, others stay.
 
-    Known codes keep their number, so splits and predictions that hang on it survive;
-    new codes count on from the highest number.
+    Known codes keep their number, so splits and predictions that hang on it survive; new
+    tickets count on from the highest number. A code is unique: of a repeated one the earliest
+    row is loaded, ``repeated_codes`` tells of the others. Tickets without a code are all
+    loaded, and as a null code never meets an earlier load, each gets a new number.
+
+    The load is written once; the rows to number are read from there, so that their row keys
+    stand still.
     """
-    codes = staged_codes(staging)
-    numbers = ticket_numbers(promoted.select("ticket_code"), existing)
-    renewed = promoted.join(numbers, "ticket_code").select(*FACT_COLUMNS)
-    return _without(existing, "ticket_code", codes).select(*FACT_COLUMNS).unionByName(renewed)
+    load = [c for c in FACT_COLUMNS if c != "id_ticket"]
+    order = ["fecha_creacion", *[c for c in load if c not in ("ticket_code", "fecha_creacion")]]
+    promoted = written(promoted.select(*load))
+    coded = first_per_key(promoted.where("ticket_code IS NOT NULL"), ["ticket_code"], order)
+    known = existing.where("ticket_code IS NOT NULL").select("ticket_code", "id_ticket")
+    matched = coded.join(known, "ticket_code")
+    last = existing.agg(F.coalesce(F.max("id_ticket"), F.lit(C.FIRST_TICKET_ID - 1)).alias("_last"))
+    fresh = written(
+        coded.join(known, "ticket_code", "left_anti").select(*load)
+        .unionByName(promoted.where("ticket_code IS NULL").select(*load))
+        .withColumn("_key", F.monotonically_increasing_id())
+    )
+    numbered = spread_row_number(fresh, "_key").join(F.broadcast(last)).withColumn(  # one row
+        "id_ticket", (F.col("_last") + F.col("row_number")).cast("long")
+    )
+    kept = _without(existing, "ticket_code", staged_codes(staging))
+    return (
+        kept.select(*FACT_COLUMNS).unionByName(matched.select(*FACT_COLUMNS))
+        .unionByName(numbered.select(*FACT_COLUMNS))
+    )
+
+
+def repeated_codes(promoted: DataFrame) -> DataFrame:
+    """Rejects (id_ticket, motivos) of the rows whose code an earlier row of the load has."""
+    counted = promoted.where("ticket_code IS NOT NULL").groupBy("ticket_code").agg(
+        F.count("*").alias("_n")
+    )
+    return counted.where("_n > 1").select(
+        F.col("ticket_code").alias("id_ticket"), F.array(F.lit("ticket_code")).alias("motivos"),
+        F.explode(F.sequence(F.lit(2), F.col("_n"))).alias("_row"),
+    ).drop("_row")
 
 
 def reload_lineage(

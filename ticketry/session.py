@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Reloads of one model version replace only that version's partition.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -44,16 +43,20 @@ def local_session(cores: int | str = 8, app: str = "ticketry", **extra: str) ->
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's shared checkpoint folder and read it from there on.
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the cluster's shared folder, read from there on.
 
-    The folder named in ``spark.checkpoint.dir`` wins; only where the session names none
+    What several branches of a query read is computed once, and a lost executor costs its own
+    tasks only. The folder named in ``spark.checkpoint.dir`` wins; only where none is named
     (tests, one machine) a folder of our own is used.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local"):
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="ticketry-checkpoint-"))
-    return df.checkpoint(eager=True)
+        folder = tempfile.mkdtemp(prefix="ticketry-tables-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder.rstrip('/')}/ticketry-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -16,9 +16,10 @@ def write_tickets(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_by_channel(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One folder per known channel. Tasks write their own rows to each folder, so a channel
-    with most of the tickets is still written by many tasks."""
+    with most of the tickets is still written by many tasks. An overwrite replaces all
+    channels, also those that have no rows any more."""
     df.where(F.col("canal").isin(CATALOGUE["canal"])).write.mode(mode).partitionBy("canal").options(
-        sep=";", header=True, encoding="UTF-8", escape='"', emptyValue="", nullValue=""
+        partitionOverwriteMode="static", sep=";", header=True, encoding="UTF-8", escape='"', emptyValue="", nullValue=""
     ).csv(path)
 
 
