@@ -143,7 +143,8 @@ def removed_windows(
     and theirs is smaller than none.
     """
     runs = cut(rows.where(~unknown()).mapInArrow(_runs(window, anchor), RUN))
-    shared = (
+    # Sides of joins are tables of their own, so that Spark can split a key with very many rows.
+    shared = cut(
         runs.groupBy("anchor").agg(F.min("__id").alias("lo"), F.max("__id").alias("hi"))
         .where("lo < hi").select("anchor")
     )
@@ -155,7 +156,9 @@ def removed_windows(
     )
     members = places.join(classes.select(*kind, "least"), kind)
     later = members.where(F.col("__id") > F.col("least")).select("__id", "__th", "first", "last")
-    several = classes.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1").select("anchor")
+    several = cut(
+        classes.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1").select("anchor")
+    )
     standing = (
         classes.join(several, "anchor")
         .groupBy(F.col("at.__id").alias("__id"), F.col("at.__th").alias("__th"))
@@ -163,11 +166,11 @@ def removed_windows(
     )
     hashed = rows.join(standing, ["__id", "__th"]).mapInArrow(_hash_windows(window), WINDOWS)
     # Equal rows stand for a class twice; once is enough.
-    hashed = hashed.dropDuplicates([*kind, "at"])
+    hashed = cut(hashed.dropDuplicates([*kind, "at"]))
     counted = hashed.groupBy("h1", "h2").agg(
         F.min("least").alias("lo"), F.max("least").alias("hi")
     ).where("lo < hi").select("h1", "h2", "lo")
-    early = hashed.join(counted, ["h1", "h2"]).where("lo < least").select(*kind, "at")
+    early = hashed.join(cut(counted), ["h1", "h2"]).where("lo < least").select(*kind, "at")
     first_of_all = members.where(F.col("__id") == F.col("least")).join(early, kind).select(
         "__id", "__th", (F.col("first") + F.col("at")).alias("first"), (F.col("first") + F.col("at")).alias("last")
     )
@@ -251,13 +254,13 @@ def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
 
     Rows stay, also those that lose all their words; a null text stays null.
     """
-    found = substring_dedup(documents, window).where(F.size("spans") > 0).select("__id", "__th", "kept")
-    found = found.dropDuplicates(["__id", "__th"])
+    found = substring_dedup(documents, window).where(F.size("spans") > 0)
+    found = found.select("__id", "__th", F.col("kept").alias("__kept")).dropDuplicates(["__id", "__th"])
     rows = keyed(documents, *documents.columns).drop("__text")
-    changed = {"text": F.coalesce("kept", "text")}
+    changed = {"text": F.coalesce("__kept", "text")}
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
-        length = F.when(F.col("kept").isNotNull(), F.length("kept")).otherwise(F.col("n_chars"))
+        length = F.when(F.col("__kept").isNotNull(), F.length("__kept")).otherwise(F.col("n_chars"))
         changed["n_chars"] = length.cast(kind)
     return (
         rows.join(found, ["__id", "__th"], "left").withColumns(changed).select(*documents.columns)
