@@ -5,12 +5,14 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.metrics import class_report, confusion, global_report
-from ..operators.models import ModelSpec, score_lot, train_model, tune
+from ..operators.columns import training_columns
+from ..operators.models import ModelSpec, registry_row, score_lot, train_model, tune
 from ..operators.training_sets import augmented
 from ..sources import sinks
+from ..sources.files import read_exported
+from .lots import publish_scores
 
 BLOCKS = {
     "E1_texto": {"meta": False},
@@ -19,34 +21,58 @@ BLOCKS = {
 }
 
 
-def run_block(train: DataFrame, valid: DataFrame, name: str, out: str) -> DataFrame:
-    """Tune each kind of model, keep model, predictions and report; rank by macro F1."""
+def read_training(spark: SparkSession, path: str) -> DataFrame:
+    """A training set from an exported file, under whatever of its known headers."""
+    return training_columns(read_exported(spark, path))
+
+
+def _registered(spark, folder: str, version: str, text: str, spec: ModelSpec, model: PipelineModel):
+    labels = model.stages[-1].getLabels()
+    sinks.write_json(registry_row(spark, version, text, spec, labels), f"{folder}/registry")
+    sinks.write_json(
+        spark.createDataFrame([(spec.kind, spec.parameter, labels)], "modelo string, parametro double, etiquetas array<string>"),
+        f"{folder}/best_params",
+    )
+
+
+def run_block(train: DataFrame, valid: DataFrame, name: str, out: str, kinds=("nb", "lr", "svm")) -> DataFrame:
+    """Tune each kind of model, keep model, predictions, figures and report; rank by macro F1."""
     spark, rows = train.sparkSession, []
-    for kind in ("nb", "lr", "svm"):
+    for kind in kinds:
         model, chosen, cv = tune(train, replace(ModelSpec(kind), **BLOCKS[name]))
         folder = f"{out}/{name}_{kind}"
         model.write().overwrite().save(f"{folder}/model")
-        sinks.write_predictions(score_lot(model, valid), f"{folder}/predictions")
-        scored = spark.read.options(sep=";", header=True).csv(f"{folder}/predictions")
-        counts = confusion(scored, "real_cat", "pred_cat")
-        sinks.write_table(class_report(counts), f"{folder}/report")
-        figures = global_report(counts).first()
+        figures = publish_scores(score_lot(model, valid), folder).first()
+        _registered(spark, folder, f"{name}_{kind}", f"{kind} de {name}, F1 macro {cv:.4f} en los pliegues", chosen, model)
         rows.append((kind, chosen.parameter, cv, figures.f1_macro, figures.accuracy))
     ranking = spark.createDataFrame(
         rows, "modelo string, parametro double, cv_f1_macro double, f1_macro double, accuracy double"
     )
-    sinks.write_table(ranking, f"{out}/{name}_ranking")
+    sinks.write_ranking(ranking, f"{out}/{name}_ranking")
     return ranking.orderBy(F.desc("f1_macro"))
 
 
+def run_block_from_files(
+    spark: SparkSession, train: str, valid: str, name: str, out: str, kinds=("nb", "lr", "svm")
+) -> DataFrame:
+    return run_block(read_training(spark, train), read_training(spark, valid), name, out, kinds)
+
+
 def retrain(
-    train: DataFrame, errors: DataFrame, valid: DataFrame, spec: ModelSpec | None = None
-) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """Fit on training rows plus mined errors: (model, validation report, run figures)."""
-    both = augmented(train, errors)
-    model = train_model(both, spec or ModelSpec("svm", 1.0))
-    counts = confusion(score_lot(model, valid), "real_cat", "pred_cat")
+    train: DataFrame, errors: DataFrame, valid: DataFrame, out: str,
+    spec: ModelSpec | None = None, version: str = "SVM_v1.1",
+) -> DataFrame:
+    """Fit on training rows plus mined errors; write model, labels, predictions, figures and
+    report under ``out``. Returns the run's sizes and its macro F1."""
+    spark = train.sparkSession
+    spec = spec or ModelSpec("svm", 1.0)
+    model = train_model(augmented(train, errors), spec)
+    model.write().overwrite().save(f"{out}/model")
+    figures = publish_scores(score_lot(model, valid), out)
+    _registered(spark, out, version, "Entrenamiento con errores minados", spec, model)
     sizes = train.agg(F.count("*").alias("train")).join(
         errors.agg(F.count("*").alias("extra"))
-    ).join(valid.agg(F.count("*").alias("valid")))
-    return model, class_report(counts), sizes.join(global_report(counts).select("f1_macro"))
+    ).join(valid.agg(F.count("*").alias("valid")))  # one row each
+    run = sizes.join(figures.select("f1_macro", "accuracy"))
+    sinks.write_json(run, f"{out}/run")
+    return run

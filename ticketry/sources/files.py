@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import re
+from functools import reduce
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -164,27 +165,45 @@ def read_semicolon(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.options(sep=";", header=True, encoding="UTF-8", escape='"').csv(path)
 
 
+def _headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """First line of every file, by one scan of all."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+        "value",
+    )
+    first = lines.where("at = 0").withColumn("row", F.monotonically_increasing_id())
+    heads = first.groupBy("path").agg(F.min_by("value", "row").alias("head"))
+    return {r["path"]: r["head"].lstrip("\ufeff") for r in heads.collect()}
+
+
 def read_predictions(spark: SparkSession, configs: list[dict]) -> DataFrame:
     """Several prediction files as one table tagged with their experiment.
 
-    Each config names ``path``, ``experimento``, ``id_experimento``, ``modelo_version`` and
-    ``dataset``. Label columns may be called differently in every file.
+    Each config names ``path`` (a file or a folder of files), ``experimento``,
+    ``id_experimento``, ``modelo_version`` and ``dataset``. Label columns may be called
+    differently in every file: files with one header are one scan, and each row finds its
+    config by the path it was read from.
     """
+    tags = ("experimento", "id_experimento", "modelo_version", "dataset")
+    paths = [c["path"].rstrip("/") for c in configs]
+    known = C.inline_table(
+        spark, [(p, *[c[t] for t in tags]) for p, c in zip(paths, configs)], ["_path", *tags]
+    )
+    plain = lambda p: F.regexp_replace(p, "^file:/+", "/")
+    layouts: dict[str, list[str]] = {}
+    for path, head in _headers(spark, paths).items():
+        layouts.setdefault(head, []).append(path)
     parts = []
-    for config in configs:
-        table = read_semicolon(spark, config["path"])
+    for files in layouts.values():
+        table = read_semicolon(spark, files)
+        place = plain(F.col("_metadata.file_path"))
+        folder = F.regexp_replace(place, "/[^/]*$", "")
         parts.append(
             table.select(
                 "id_ticket",
                 F.col(first_available(table, C.REAL_COLUMNS)).alias("real_cat"),
                 F.col(first_available(table, C.PREDICTED_COLUMNS)).alias("pred_cat"),
-                *[
-                    F.lit(config[c]).alias(c)
-                    for c in ("experimento", "id_experimento", "modelo_version", "dataset")
-                ],
+                F.when(place.isin(paths), place).otherwise(folder).alias("_path"),
             )
         )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts).join(known, "_path").drop("_path")

@@ -62,10 +62,46 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def report_text(report: DataFrame) -> DataFrame:
-    """A class report as lines of text, one per class."""
-    line = F.format_string(
-        "%-12s %9.4f %9.4f %9.4f %9d",
-        F.col("label"), F.col("precision"), F.col("recall"), F.col("f1"), F.col("support"),
+def report_text(report: DataFrame, averages: DataFrame) -> DataFrame:
+    """A class report as lines of text: a line per class, accuracy, macro and weighted means."""
+    line = "%-14s %9.4f %9.4f %9.4f %9d"
+    classes = report.select(
+        F.lit(1).alias("part"), "label",
+        F.format_string(line, "label", "precision", "recall", "f1", "support").alias("value"),
     )
-    return report.select(line.alias("value"))
+    means = averages.select(
+        F.explode(
+            F.array(
+                F.struct(
+                    F.lit(2).alias("part"),
+                    F.format_string("%-14s %29.4f %9d", F.lit("accuracy"), "accuracy", "n").alias("value"),
+                ),
+                *[
+                    F.struct(
+                        F.lit(part).alias("part"),
+                        F.format_string(
+                            line, F.lit(f"{kind} avg"), f"precision_{kind}", f"recall_{kind}",
+                            f"f1_{kind}", "n",
+                        ).alias("value"),
+                    )
+                    for part, kind in ((3, "macro"), (4, "weighted"))
+                ],
+            )
+        ).alias("m")
+    ).select("m.part", F.lit("").alias("label"), "m.value")
+    # A line per class: one small file, in order.
+    return classes.unionByName(means).coalesce(1).sortWithinPartitions("part", "label").select("value")
+
+
+def write_text(lines: DataFrame, path: str) -> None:
+    lines.write.mode("overwrite").text(path)
+
+
+def write_json(figures: DataFrame, path: str) -> None:
+    """Metrics and best parameters: one row, one file."""
+    figures.coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_ranking(ranking: DataFrame, path: str) -> None:
+    """Models by macro F1, best first, as one ``;`` separated file (a row per model)."""
+    write_tickets(ranking.coalesce(1).sortWithinPartitions(F.desc("f1_macro"), "modelo"), path)
