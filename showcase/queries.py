@@ -250,9 +250,16 @@ def keyword_scores_joined(spark, sf):
 
 @query
 def unify_sources(spark, sf):
-    """The whole path: clean, classify, unite, repair."""
+    """The whole path: three inputs, each cleaned and classified, then united and repaired."""
     raw = S.tickets_raw(spark, sf)
-    tickets = normalize.normalize_tickets(raw, "fuente", "k")
+    inputs = [
+        raw.where(F.col("fuente") == name).drop("fuente") for name in ("kaggle_1", "sintetico_2", "sintetico")
+    ]
+    parts = [
+        normalize.normalize_source(table, name, "k")
+        for table, name in zip(inputs, ("kaggle_1", "sintetico_2", "sintetico"))
+    ]
+    tickets = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return repair.repair_closing_dates(tickets, S.AS_OF).select(*C.TICKET_COLUMNS)
 
 

@@ -1,7 +1,7 @@
 """CSV dialects, row positions and the run from files to outputs."""
 
 from ticketry.plans import etl
-from ticketry.sources.files import probe, read_strict, read_tolerant
+from ticketry.sources.files import Dialect, probe, read_numbered, read_strict, read_tolerant
 
 HEADER = "number;short_description;Content;priority;date;state;resolved_at;contact_type\n"
 
@@ -16,12 +16,15 @@ def test_tolerant_rows(spark, tmp_path):
         "﻿a;b;c\n1;\"x;y\";\"say \"\"hi\"\"\"\n2;short\n3;4;5;6\n;;\n7;8;9\n"
     )
     path = write(tmp_path / "t.csv", body)
-    table = read_tolerant(spark, path, position="_p")
+    table, refused = read_numbered(spark, path, "_p")
+    assert refused.first().refused == 1
     rows = sorted(tuple(r) for r in table.select("_p", "a", "b", "c").collect())
     assert rows == [(0, "1", "x;y", 'say "hi"'), (1, "2", "short", ""), (2, "", "", ""),
                     (3, "7", "8", "9")]
     # The skipped row does not depend on the columns asked for.
-    assert table.select("a").count() == 4
+    assert table.select("a").count() == 4 and read_tolerant(spark, path).select("a").count() == 4
+    stated = Dialect(";", "UTF-8", False)
+    assert read_tolerant(spark, path, stated).count() == 4
     good, bad = read_strict(spark, path)
     assert good.count() == 4 and [r.linea for r in bad.collect()] == ["3;4;5;6"]
 
@@ -36,6 +39,7 @@ def test_run(spark, tmp_path):
     one = HEADER + (
         "INC1;VPN cae;sin red;p1;13/02/2024 10:00;closed;2024-02-01;phone\n"
         ";Correo lleno;outlook;low;2024-03-01T08:00:00Z;open;2024-03-02;email\n"
+        "INC3;a;b;p1;13/02/2024 10:00;closed;2024-02-01;phone;one too many\n"
     )
     two = "id_ticket;canal;resumen;descripcion\nsynt2_9;EMAIL;leer el manual;x\n"
     sources = {
@@ -57,3 +61,4 @@ def test_run(spark, tmp_path):
         "3_close_before_creation_cleared"]
     report = {(r.metrica, r.clave): r.valor for r in spark.read.json(f"{out}/report").collect()}
     assert report[("total", "")] == 3 and report[("por_canal", "EMAIL")] == 1
+    assert report[("filas_descartadas", "kaggle_1")] == 1 and report[("filas_descartadas", "sintetico_2")] == 0

@@ -5,15 +5,17 @@ from __future__ import annotations
 import csv
 import io
 import re
-from functools import reduce
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.columns import first_available
 from .. import catalogs as C
+from ..operators.columns import first_available
+from ..session import written
 
 SEPARATORS = [";", ",", "\t", "|"]
+# Lines a separator is judged by; the data are read in full.
 PROBE_LINES = 200
 CORRUPT = "_corrupt_record"
 # Bytes windows-1252 leaves undefined.
@@ -27,8 +29,8 @@ class Dialect:
     multiline: bool
 
 
-def probe(spark: SparkSession, path: str) -> Dialect:
-    """Separator from the first lines; encoding and multi-line cells from the whole text.
+def probe(spark: SparkSession, path: str, sample_lines: int = PROBE_LINES) -> Dialect:
+    """Advice on a file: separator from its first ``sample_lines`` lines; encoding and multi-line cells from the whole text.
 
     One distributed pass decides what a task-by-task reader could not: whether any byte
     sequence is invalid, and whether any quoted cell runs over a line end. Only files that
@@ -45,12 +47,12 @@ def probe(spark: SparkSession, path: str) -> Dialect:
     if facts.utf8 is None:
         raise ValueError(f"{path} holds no lines")
     encoding = "UTF-8" if facts.utf8 else ("ISO-8859-1" if facts.undefined else "windows-1252")
-    return Dialect(_separator(lines), encoding, bool(facts.multiline))
+    return Dialect(_separator(lines, sample_lines), encoding, bool(facts.multiline))
 
 
-def _separator(lines: DataFrame) -> str:
+def _separator(lines: DataFrame, sample_lines: int) -> str:
     """The sign that cuts the header into most cells; earlier lines decide a draw."""
-    sample = [r.value for r in lines.limit(PROBE_LINES).collect() if r.value and r.value.strip()]
+    sample = [r.value for r in lines.limit(sample_lines).collect() if r.value and r.value.strip()]
     for line in sample:
         counts = {s: len(_cells(line, s)) for s in SEPARATORS}
         best = max(counts.values())
@@ -116,24 +118,35 @@ def _finish(rows: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
     )
 
 
-def read_tolerant(
-    spark: SparkSession, path: str, dialect: Dialect | None = None, position: str | None = None
-) -> DataFrame:
+def read_tolerant(spark: SparkSession, path: str, dialect: Dialect | None = None) -> DataFrame:
     """Any delimited file as text columns; rows longer than the header are left out.
 
-    ``position`` names a column for the row's place among the rows that are kept.
+    A caller that knows the dialect states it; otherwise it is probed, which reads the file
+    once more.
+    """
+    dialect = dialect or probe(spark, path)
+    names = _header(spark, path, dialect)
+    scan = _scan(spark, path, dialect, names, '"')
+    return _finish(scan.where(~_too_long(len(names), dialect.separator)), names, [])
+
+
+def read_numbered(
+    spark: SparkSession, path: str, position: str, dialect: Dialect | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``read_tolerant`` with their place among them, and (refused): how many rows
+    were left out.
+
+    The file is parsed once, into a table; places and counts come from there.
     """
+    from .positions import mark_places, number_places
+
     dialect = dialect or probe(spark, path)
     names = _header(spark, path, dialect)
     scan = _scan(spark, path, dialect, names, '"')
-    if position is None:
-        kept = scan.where(~_too_long(len(names), dialect.separator))
-        return _finish(kept, names, [])
-    # Number kept rows only: per split, the rows kept before give the start.
-    from .positions import text_positions
-
-    kept = scan.where(~_too_long(len(names), dialect.separator))
-    return _finish(text_positions(kept, position), names, [position])
+    marked = mark_places(scan.withColumn("_long", _too_long(len(names), dialect.separator)))
+    parsed = written(marked.drop(CORRUPT))
+    kept = number_places(parsed.where("NOT _long"), position)
+    return _finish(kept, names, [position]), parsed.agg(F.count_if("_long").alias("refused"))
 
 
 def read_exported(spark: SparkSession, path: str) -> DataFrame:

@@ -31,23 +31,28 @@ def parquet_positions(df: DataFrame, name: str = "_position") -> DataFrame:
     )
 
 
-def text_positions(df: DataFrame, name: str = "_position") -> DataFrame:
-    """Position of each row over all files of a CSV or text scan, in path and file order.
-
-    Rows are counted per split, and the splits' sizes give each split its start. Both scans
-    cut the files alike, because the cut follows file sizes and settings only. Rows may have
-    been filtered since the scan (kept rows are counted), but not moved.
-    """
-    located = df.select(
-        *df.columns,
+def mark_places(scan: DataFrame) -> DataFrame:
+    """Adds file, split and row id to the rows of a CSV or text scan, for ``number_places``."""
+    return scan.select(
+        *scan.columns,
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"),
     )
-    sizes = located.groupBy("_file", "_block").agg(
-        F.count("*").alias("_n"), F.min("_id").alias("_first")
-    )
+
+
+def number_places(marked: DataFrame, name: str = "_position") -> DataFrame:
+    """Position of each row over all files, in path and file order, counted among the rows given.
+
+    ``marked`` is a written table, so that the ids stand still. Rows are numbered inside their
+    split, and the splits' sizes give each split its start: one row per split, about 800 000
+    of them in 100 TB, are ordered in one task.
+    """
+    sizes = marked.groupBy("_file", "_block").agg(F.count("*").alias("_n"))
     starts = _starts(sizes, ["_file", "_block"]).drop("_n")
-    return located.join(starts, ["_file", "_block"]).select(
-        *df.columns, (F.col("_start") + F.col("_id") - F.col("_first")).alias(name)
+    inside = Window.partitionBy("_file", "_block").orderBy("_id")
+    numbered = marked.withColumn("_in", F.row_number().over(inside) - 1)
+    return numbered.join(starts, ["_file", "_block"]).select(
+        *[c for c in marked.columns if c not in ("_file", "_block", "_id")],
+        (F.col("_start") + F.col("_in")).alias(name),
     )
