@@ -475,6 +475,13 @@ JOIN types t ON t.codigo = g.real_cat""")
 ORACLES["confusion_keys"] = with_tables(f"{CODES},\n{REGISTRY}", f"""
 SELECT id_experimento, modelo_version, dataset, a.id_tipo AS id_real, b.id_tipo AS id_pred, n
 FROM ({GRID}) g JOIN types a ON a.codigo = g.real_cat JOIN types b ON b.codigo = g.pred_cat""")
+ORACLES["dq_fk_family"] = with_tables(f"{T.FACTS},\n{T.PREDICTIONS},\n{CODES},\n{REGISTRY}", f"""
+SELECT 'map_id_origen.id_ticket' AS referencia, 0::BIGINT AS filas
+UNION ALL SELECT 'prediccion.id_ticket', (SELECT count(*) FROM predictions WHERE id_ticket NOT IN (SELECT id_ticket FROM f_tickets))
+UNION ALL SELECT 'prediccion.id_tipo_predicho', (SELECT count(*) FROM predictions WHERE id_tipo_predicho NOT IN (SELECT id_tipo FROM types))
+UNION ALL SELECT 'prediccion.modelo_version', (SELECT count(*) FROM predictions WHERE modelo_version NOT IN (SELECT modelo_version FROM models))
+UNION ALL SELECT 'resultado.id_experimento', (SELECT count(*) FROM ({GLOBAL}) WHERE id_experimento NOT IN (SELECT id_experimento FROM exps))
+UNION ALL SELECT 'resultado.modelo_version', (SELECT count(*) FROM ({GLOBAL}) WHERE modelo_version NOT IN (SELECT modelo_version FROM models))""")
 MINED = f"""{T.FACTS},{T.PREDICTED_CODES},
 manual AS (SELECT k AS id_ticket, trim(CASE WHEN k % 17 = 0 THEN ' NET ' ELSE categoria END) AS real_cat, resumen, descripcion FROM raw WHERE k % 19 <> 0),
 mined AS (SELECT p.id_ticket, m.real_cat, p.pred_cat, resumen, descripcion, trim(resumen || ' ' || descripcion) AS texto

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -457,6 +458,27 @@ def dq_fk_dimensions(spark, sf):
     )
 
 
+@query
+def dq_fk_family(spark, sf):
+    """Rows without parent for the references of lineage, predictions and results."""
+    facts, staging, scores = S.facts(spark, sf), S.staging(spark, sf), S.predictions(spark, sf)
+    results = metrics.export_global(_counts(spark, sf, metrics.EXPERIMENT_COLUMNS))
+    references = [
+        ("map_id_origen.id_ticket", warehouse.lineage(facts, staging), "id_ticket", facts),
+        ("prediccion.id_ticket", scores, "id_ticket", facts),
+        ("prediccion.id_tipo_predicho", scores.withColumnRenamed("id_tipo_predicho", "id_tipo"), "id_tipo", C.d_tipo(spark)),
+        ("prediccion.modelo_version", scores, "modelo_version", C.d_modelo(spark)),
+        ("resultado.id_experimento", results, "id_experimento", C.ml_experimento(spark)),
+        ("resultado.modelo_version", results, "modelo_version", C.d_modelo(spark)),
+    ]
+    counted = [
+        quality.orphans(child, column, parent, column).agg(F.count("*").alias("filas"))
+        .select(F.lit(name).alias("referencia"), "filas")
+        for name, child, column, parent in references
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query
 def dq_catalog(spark, sf):
     return quality.catalogue_strays(S.tickets_clean(spark, sf))
