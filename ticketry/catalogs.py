@@ -114,10 +114,10 @@ MODELS = [
      "TF-IDF texto; alpha=1.0"),
     ("E1_RL", "Regresión Logística (E1, solo texto)", "LogisticRegression",
      "TF-IDF texto; solver=lbfgs"),
-    ("E1_SVM", "SVM lineal (E1, solo texto)", "LinearSVC", "TF-IDF texto; C=1.0"),
+    ("E1_SVM", "SVM lineal (E1, solo texto)", "LinearSVC", "TF-IDF texto; C=2.0"),
     ("E2_SVM", "SVM lineal (E2, texto + canal/prioridad)", "LinearSVC", "TF-IDF + metadatos"),
-    ("SVM_v1.1", "SVM lineal L4 - modelo referencia producción", "LinearSVC",
-     "TF-IDF texto; entrenado con TRAIN+VALID+L4"),
+    ("SVM_v1.1", "SVM lineal reentrenado", "LinearSVC",
+     "TF-IDF texto; C=1.0; TRAIN + errores de L1"),
 ]
 WEAK_LABELS = ["NET", "SRV", "POL"]
 REAL_COLUMNS = ["real_cat", "categoria", "y_true", "label", "real"]
