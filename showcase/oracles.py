@@ -572,3 +572,5 @@ for _kind in ("lr", "svm"):
     ORACLES[f"score_lot_{_kind}"] = with_tables(
         PARTS, "SELECT doc_id AS id_ticket, lang AS real_cat, true AS ok_cuadra, true AS f1_alcanza FROM docs WHERE NOT train"
     )
+ORACLES["grid_search"] = """
+SELECT 'nb' AS kind, p::DOUBLE AS parameter, f::INT AS fold, true AS f1_alcanza FROM (VALUES (0.5), (1.0), (2.0)) t(p), range(5) r(f)"""
