@@ -237,14 +237,15 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < 2 * SPAN:
         raise ValueError(f"strings have to be of {2 * SPAN} bytes or more")
     all_places = rows.mapInArrow(_occurrences(length), OCCURRENCE)
+    # Sides of joins are tables of their own, so that Spark can split a key with very many rows.
     twice = all_places.groupBy("centre").agg(F.count("*").alias("n")).where("n > 1")
-    places = cut(all_places.join(twice.select("centre"), "centre"))
+    places = cut(all_places.join(cut(twice.select("centre")), "centre"))
     classes = cut(
         places.groupBy("centre", "whole").agg(
             F.count("*").alias("n"), F.min(F.struct("__id", "__th", "b", "reach")).alias("at")
         )
     )
-    many = classes.groupBy("centre").agg(F.count("*").alias("m")).where("m > 1")
+    many = cut(classes.groupBy("centre").agg(F.count("*").alias("m")).where("m > 1"))
     whole = places.join(classes.where("n > 1").select("centre", "whole"), ["centre", "whole"])
     spans = whole.select(
         "__id", "__th",
@@ -258,7 +259,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     sides = rows.join(open_classes, ["__id", "__th"]).mapInArrow(_sides(length), SIDES)
     # Copies of one row are one place of a class each; the class has been counted already.
-    sides = sides.dropDuplicates(["centre", "__id", "__th", "b"])
+    sides = cut(sides.dropDuplicates(["centre", "__id", "__th", "b"]))
     span = "__id long, __th long, start long, end long"
     ordered = (
         sides.where(F.col("m") <= ORDERED).repartition("centre").sortWithinPartitions("centre")
@@ -267,7 +268,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     strings = sides.where(F.col("m") > ORDERED).mapInArrow(_hash_strings(length), STRING)
     key = ["centre", "d", "string"]
     repeated = strings.groupBy(*key).agg(F.sum("n").alias("times")).where("times > 1")
-    counted = strings.where("n = 1").join(repeated.select(*key), key).select(
+    counted = strings.where("n = 1").join(cut(repeated.select(*key)), key).select(
         "__id", "__th", "start", (F.col("start") + length).alias("end")
     )
     return (
