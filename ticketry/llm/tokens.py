@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
-from collections.abc import Callable
 
 from ticketry.llm.common import worker_store
 
 TOKENIZER = "word_bpe_49k.json"
 #: Words a worker remembers; beyond it, it forgets all and starts again.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
+#: The rule by which a tokenizer takes runs of letters apart.
+LETTERS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Letters with one lower-case form each and no other normal form, then ASCII signs and digits.
+PLAIN_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u0148\u014a-\u017e]+)([!-@\[-`{-~]*)")
+#: Words handed to the tokenizer at a time.
+LEARNED = 4096
 
 
 def default_path() -> str:
@@ -33,30 +40,114 @@ def load(path: str):
     return store["tokenizer"], store["words"]
 
 
-def encoder(path: str) -> Callable[[bytes], bytes]:
-    """A function from UTF-8 text to its ids, as little-endian unsigned 32-bit integers.
+def _plain(tokenizer) -> bool:
+    """Whether the tokenizer lower-cases, takes runs of letters apart and maps bytes to signs."""
+    rules = json.loads(tokenizer.to_str())
+    steps = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers", [])]
+    cuts = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (
+        steps == ["NFC", "Replace", "Lowercase"]
+        and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+        and cuts[0]["pattern"] == {"Regex": LETTERS_APART}
+        and not cuts[1]["add_prefix_space"]
+    )
+
+
+def _signs() -> list[str]:
+    """The sign that stands for each byte: printable ones for themselves, others from 256 on."""
+    signs, more = [], 256
+    for byte in range(256):
+        shown = 33 <= byte <= 126 or 161 <= byte <= 172 or byte >= 174
+        signs.append(chr(byte if shown else more))
+        more += not shown
+    return signs
+
+
+class Encoder:
+    """From UTF-8 text to its ids, as little-endian unsigned 32-bit integers.
 
     The tokenizer splits at white space before anything else, so the ids of a text are those of
-    its words in a row, and a word that came before needs no second look.
+    its words in a row, and a word that came before needs no second look. A new word of plain
+    letters and punctuation after them goes to the merges of the tokenizer directly, its letters
+    in lower case and its punctuation apart, as the tokenizer itself would cut it; any other word
+    goes the whole way.
     """
-    tokenizer, known = load(path)
-
-    def encode(text: bytes) -> bytes:
-        words = text.split()
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list(set(words).difference(known))
-        found = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for word, encoding in zip(new, found):
-            ids = encoding.ids
-            known[word] = struct.pack(f"<{len(ids)}I", *ids)
-        return b"".join(map(known.__getitem__, words))
-
-    return encode
+
+    def __init__(self, path: str) -> None:
+        self.tokenizer, self.known = load(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.plain = _plain(self.tokenizer)
+        self.signs = _signs()
+
+    def _learn(self, words: set[bytes]) -> None:
+        known, merge, signs = self.known, self.merge, self.signs
+        parts, whole = {}, set()
+        for word in words:
+            found = PLAIN_WORD.fullmatch(word.decode()) if self.plain else None
+            if not found:
+                parts[word] = (word,)
+                whole.add(word)
+                continue
+            letters, rest = found[1].lower(), found[2].encode()
+            core = letters.encode()
+            if core not in known:
+                shown = letters if letters.isascii() else "".join([signs[b] for b in core])
+                ids = [t.id for t in merge(shown)]
+                known[core] = struct.pack(f"<{len(ids)}I", *ids)
+            if rest and rest not in known:
+                whole.add(rest)
+            parts[word] = (core, rest) if rest else (core,)
+        new = list(whole)
+        for at in range(0, len(new), LEARNED):
+            some = new[at : at + LEARNED]
+            found = self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
+            for part, encoding in zip(some, found):
+                ids = encoding.ids
+                known[part] = struct.pack(f"<{len(ids)}I", *ids)
+        for word, some in parts.items():
+            known[word] = known[some[0]] + known[some[1]] if len(some) > 1 else known[some[0]]
+
+    def all(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of several texts: their new words are learned in one go."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        get, rows, new = self.known.get, [], set()
+        for text in texts:
+            words = text.split()
+            ids, holes = list(map(get, words)), []
+            at = -1
+            while True:
+                try:
+                    at = ids.index(None, at + 1)
+                except ValueError:
+                    break
+                holes.append(at)
+                new.add(words[at])
+            rows.append((ids, holes, [words[i] for i in holes]))
+        self._learn(new)
+        out = []
+        for ids, holes, words in rows:
+            for at, word in zip(holes, words):
+                ids[at] = self.known[word]
+            out.append(b"".join(ids))
+        return out
+
+    def __call__(self, text: bytes) -> bytes:
+        return self.all([text])[0]
+
+
+def portions(rows, size: int = 1 << 22):
+    """Lists of rows (their text last) with about ``size`` bytes of text each."""
+    some, held = [], 0
+    for row in rows:
+        data = row[-1].encode()
+        some.append((*row[:-1], data))
+        held += len(data)
+        if held > size:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
 
 
 def token_texts(path: str) -> list[str | None]:
