@@ -18,20 +18,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketry.llm.common import cut, keyed
-from ticketry.llm.tokens import default_path, encoder, load, token_texts
+from ticketry.llm.tokens import Encoder, default_path, load, portions, token_texts
 
 #: One of so many places is a cut (a power of two): the mean length of a chunk in bytes.
-CHUNK = 1024
+CHUNK = 2048
 GRAM = 8
+#: How far a cut looks for white space, in bytes.
+NEAR = 64
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: Rows that take the ids of a chunk from one copy.
 HOLDERS = 1000
-#: Bytes of results handed over at a time.
-HANDED = 1 << 23
 
 
 def chunks(data: bytes) -> list[bytes]:
-    """The text in chunks; a cut depends on the eight bytes before it and lies between characters."""
+    """The text in chunks; a cut depends on the bytes around it alone and lies between characters.
+
+    It moves on to the next white space, if there is one near, and else goes through a word.
+    """
     if len(data) <= GRAM:
         return [data] if data else []
     grams = np.ndarray(len(data) - GRAM + 1, "<u8", data, 0, (1,))
@@ -39,6 +42,9 @@ def chunks(data: bytes) -> list[bytes]:
     cuts = np.flatnonzero(((grams * np.uint64(0x9E3779B97F4A7C15)) & mask) == 0) + GRAM
     edges = [0]
     for cut_at in cuts.tolist():
+        space = SPACE.search(data, cut_at, cut_at + NEAR)
+        if space:
+            cut_at = space.start()
         while cut_at < len(data) and data[cut_at] & 0xC0 == 0x80:
             cut_at += 1
         if edges[-1] < cut_at < len(data):
@@ -71,6 +77,16 @@ def joined(parts: list[tuple[bytes, bytes]], encode) -> bytes:
     return b"".join(out)
 
 
+def _short(ids: bytes) -> bytes:
+    """Ids on their way from one row to others: 16 bits each where they fit."""
+    wide = np.frombuffer(ids, "<u4")
+    return b"2" + wide.astype("<u2").tobytes() if wide.max(initial=0) < 1 << 16 else b"4" + ids
+
+
+def _long(sent: bytes) -> bytes:
+    return sent[1:] if sent[:1] == b"4" else np.frombuffer(sent[1:], "<u2").astype("<u4").tobytes()
+
+
 def _name_chunks(batches):
     for batch in batches:
         out = [[], [], []]
@@ -87,17 +103,18 @@ def _name_chunks(batches):
 
 def _encode_owned(path: str):
     def run(batches):
-        encode = encoder(path)
+        encode = Encoder(path)
         for batch in batches:
             names, times, ids = [], [], []
-            for text, owned in zip(batch.column("__text").to_pylist(), batch.column("owned").to_pylist()):
+            rows = zip(batch.column("__text").to_pylist(), batch.column("owned").to_pylist())
+            for text, owned in rows:
                 wanted = {o["chunk"]: o["n"] for o in owned}
                 for chunk in chunks(text.encode()):
                     n = wanted.pop(name(chunk), None)
                     if n:
                         names.append(name(chunk))
                         times.append(n)
-                        ids.append(encode(chunk))
+                        ids.append(_short(encode(chunk)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.binary()), pa.array(times, pa.int64()), pa.array(ids, pa.binary())],
                 ["chunk", "n", "ids"],
@@ -111,33 +128,32 @@ def _encode(path: str, decode: bool):
     names = ["__id", "__th", "ids", "decoded"]
 
     def run(batches):
-        encode = encoder(path)
+        encode = Encoder(path)
         texts = token_texts(path)
         for batch in batches:
-            out, size = [[] for _ in names], 0
-            rows = zip(*(batch.column(c).to_pylist() for c in ("__id", "__th", "__text")))
-            for (doc, th, text), shared in zip(rows, batch.column("shared")):
-                known = {}
-                if shared.is_valid:
-                    fields = shared.values
-                    known = dict(
-                        zip(fields.field("chunk").to_pylist(), fields.field("ids").to_pylist())
-                    )
-                parts = []
-                for chunk in chunks(text.encode()):
-                    ids = known.get(name(chunk)) if known else None
-                    parts.append((chunk, encode(chunk) if ids is None else ids))
-                ids = joined(parts, encode)
-                decoded = None
-                if decode:
-                    decoded = " ".join([texts[i] for i in np.frombuffer(ids, "<u4").tolist()])
-                for column, value in zip(out, (doc, th, ids, decoded)):
-                    column.append(value)
-                size += len(ids) + len(decoded or "")
-                if size > HANDED:
-                    yield pa.RecordBatch.from_arrays(list(map(pa.array, out, kinds)), names)
-                    out, size = [[] for _ in names], 0
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, out, kinds)), names)
+            lists = [batch.column(c).to_pylist() for c in ("__id", "__th", "__text")]
+            rows = zip(*lists[:2], batch.column("shared"), lists[2])
+            for some in portions(rows):
+                parts, new = [], []
+                for doc, th, shared, data in some:
+                    known = {}
+                    if shared.is_valid:
+                        fields = shared.values
+                        sent = map(_long, fields.field("ids").to_pylist())
+                        known = dict(zip(fields.field("chunk").to_pylist(), sent))
+                    own = [(c, known.get(name(c)) if known else None) for c in chunks(data)]
+                    parts.append((doc, th, own))
+                    new += [c for c, ids in own if ids is None]
+                fresh = iter(encode.all(new))
+                out = [[] for _ in names]
+                for doc, th, own in parts:
+                    ids = joined([(c, next(fresh) if i is None else i) for c, i in own], encode)
+                    decoded = None
+                    if decode:
+                        decoded = " ".join([texts[i] for i in np.frombuffer(ids, "<u4").tolist()])
+                    for column, value in zip(out, (doc, th, ids, decoded)):
+                        column.append(value)
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, out, kinds)), names)
 
     return run
 
