@@ -142,7 +142,8 @@ def removed_windows(
     ``rows`` are ``keyed``; those without an id are left out: no id is smaller than theirs,
     and theirs is smaller than none.
     """
-    runs = cut(rows.where(~unknown()).mapInArrow(_runs(window, anchor), RUN))
+    # Named twice, once to count and once to keep what counts: a table of all runs is larger.
+    runs = rows.where(~unknown()).mapInArrow(_runs(window, anchor), RUN)
     # Sides of joins are tables of their own, so that Spark can split a key with very many rows.
     shared = cut(
         runs.groupBy("anchor").agg(F.min("__id").alias("lo"), F.max("__id").alias("hi"))
@@ -165,12 +166,13 @@ def removed_windows(
         .agg(F.collect_list(F.struct(*kind, "least", "at.first", "at.last")).alias("runs"))
     )
     hashed = rows.join(standing, ["__id", "__th"]).mapInArrow(_hash_windows(window), WINDOWS)
-    # Equal rows stand for a class twice; once is enough.
-    hashed = cut(hashed.dropDuplicates([*kind, "at"]))
+    hashed = cut(hashed)
     counted = hashed.groupBy("h1", "h2").agg(
         F.min("least").alias("lo"), F.max("least").alias("hi")
     ).where("lo < hi").select("h1", "h2", "lo")
-    early = hashed.join(cut(counted), ["h1", "h2"]).where("lo < least").select(*kind, "at")
+    early = hashed.join(cut(counted), ["h1", "h2"]).where("lo < least").select(
+        *kind, "at"
+    ).distinct()  # equal rows stand for a class more than once
     first_of_all = members.where(F.col("__id") == F.col("least")).join(early, kind).select(
         "__id", "__th", (F.col("first") + F.col("at")).alias("first"), (F.col("first") + F.col("at")).alias("last")
     )
