@@ -84,7 +84,8 @@ def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
     table = distinct.select(
         "fp", F.posexplode(F.array(*[_part("fp", s) for s in range(SEGMENTS)])).alias("s", "v")
     )
-    sizes = table.groupBy("s", "v").agg(F.count("*").alias("n"))
+    # A table of its own, so that Spark can split the rows that meet a hot value.
+    sizes = cut(table.groupBy("s", "v").agg(F.count("*").alias("n")))
     bits = F.array(*[F.lit(1 << b).cast("long") for b in range(WIDTH)])
     raised = F.transform(
         F.filter(bits, lambda b: F.col("v").bitwiseAND(b) == 0), lambda b: F.col("v").bitwiseOR(b)
