@@ -235,6 +235,9 @@ def judge(documents: DataFrame, enough: int = ENOUGH, columns: list[str] | None
             F.coalesce("own", "language", "every").alias("__limits"),
         )
     )
+    # A row per language and source: Spark knows the size of a written table, and sends it to
+    # the rows if it is small, or splits the rows of a hot source.
+    table = cut(table)
     inside = F.lit(True)
     for m in MEASURES:
         limit = F.col(f"__limits.{m.name}_high")
