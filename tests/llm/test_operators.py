@@ -19,6 +19,7 @@ from ticketry.llm.html_text import extract_text, text_of
 from ticketry.llm.licenses import TEMPLATES, patience, scan_licenses, words
 from ticketry.llm.packing import pack, plan
 from ticketry.llm.quality_rules import bucket, judge, keep
+from ticketry.llm.rolling import BLOCK
 from ticketry.llm.sharding import GROWN, TREE, Shard, shard
 from ticketry.llm.simhash import links, near_duplicates, one_of_each
 from ticketry.llm.substring_dedup import substring_dedup, without_repeats
@@ -107,6 +108,24 @@ def test_suffix_dedup_of_edited_copies(spark):
     same(got(found, *columns), brute.suffix_dedup(texts))
 
 
+@pytest.mark.parametrize("ordered", [4096, 1])
+def test_suffix_dedup_across_block_edges(spark, monkeypatch, ordered):
+    # Passages of 400 to 520 bytes at the edge of a block, each in another row at another offset.
+    monkeypatch.setattr("ticketry.llm.suffix_dedup.ORDERED", ordered)
+    chance = random.Random(12)
+    prose = lambda n: "".join(chance.choices("abcdefghijklmnop ", k=n))
+    texts = []
+    for i in range(6):
+        before = chance.randint(0, 40)
+        long = prose(BLOCK + 3000)
+        passage = long[BLOCK - before : BLOCK - before + 430 + 15 * i]
+        texts += [(2 * i, long), (2 * i + 1, prose(77 + i) + passage + prose(90))]
+    texts.append(texts[0])
+    found = suffix_dedup(spark.createDataFrame(texts, "doc_id long, text string"))
+    columns = (doc_id(), "n_bytes", removed(), F.size("spans"), F.sha2("kept", 256))
+    same(got(found, *columns), brute.suffix_dedup(texts))
+
+
 def test_substring_dedup(docs, rows, none):
     found = substring_dedup(clashing(docs), layout=False)
     same(got(found, doc_id(), "n_words", removed(), F.sha2("kept", 256)), brute.substring_dedup(rows))

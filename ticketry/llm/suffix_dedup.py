@@ -258,8 +258,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         .groupBy("__id", "__th").agg(F.collect_list("place").alias("places"))
     )
     sides = rows.join(open_classes, ["__id", "__th"]).mapInArrow(_sides(length), SIDES)
-    # Copies of one row are one place of a class each; the class has been counted already.
-    sides = cut(sides.dropDuplicates(["centre", "__id", "__th", "b"]))
+    # Copies of one row are one place of a class each; the class has been counted already. A run of
+    # strings that goes over a block edge of ``minima`` is two places, told apart by their reach.
+    sides = cut(sides.dropDuplicates(["centre", "__id", "__th", "b", "reach"]))
     span = "__id long, __th long, start long, end long"
     ordered = (
         sides.where(F.col("m") <= ORDERED).repartition("centre").sortWithinPartitions("centre")
