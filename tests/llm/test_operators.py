@@ -391,6 +391,27 @@ def test_html_layout():
     assert text_of("<" * 5000 + "<!-- open") == "<" * 5000 and text_of("</p></div>x</b>") == "x"
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<table><colgroup><col><tr><td>x</td></tr></table>", "x"),
+        ("<table><colgroup><col><td>x<td>y</table>", "x  y"),
+        ("<table><form><tr><td>x</td></tr></form></table>z", "x\n\nz"),
+        ("<table><center><tr><td>x</td></tr></center></table>", "x"),
+        ("<table><tbody><tr><form><td>x</td></form><td>y</td></tr></table>", "x  y"),
+        ("a<table><div>b</div><tr><td>x</table>c", "a\nb\n\nx\n\nc"),
+        ("<table><tr><td>x</td></tr><tbody>b<tr>c<p>d</p><td>y</td></tr></table>", "bc\n\nd\n\nx\ny"),
+        ("<table><tr><td>x<table><tr>b<td>y</table><td>z</table>", "xb  y  z"),
+        ("<table><div>a<tr><td>x</td></tr>b</div></table>", "a\nb\n\nx"),
+        ("<table><tr><td>x<tr><table><tr><td>y</table>", "x\n\ny"),
+        ("<table><caption>c<td>x<tbody><caption>d</table>", "c\nd\nx"),
+        ("<table><template><tr><td>no</td></tr></template><tr><td><template><td>no</template>x</table>", "x"),
+    ],
+)
+def test_html_shows_what_strays_in_a_table(html, text):
+    assert text_of(html) == text
+
+
 def test_html_table(spark):
     rows = [(1, "u", "<p>a", "old"), (2, None, None, "old"), (3, "u", "", None), (3, "u", "", None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

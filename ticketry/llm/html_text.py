@@ -29,15 +29,24 @@ BLOCK = SPACED | frozenset(
 )
 CLOSES_P = (BLOCK - {"tr", "caption", "option", "html", "body", "optgroup", "legend"}) | {"hr"}
 CELLS, PARTS = ("td", "th"), ("thead", "tbody", "tfoot")
+#: Open elements that the parts of a table may start in; others between them and the table end.
+INSIDE = {
+    **{c: ("tr", *PARTS, "table") for c in CELLS}, "tr": (*PARTS, "table"), "col": ("colgroup", "table"),
+    **{p: ("table",) for p in (*PARTS, "caption", "colgroup")},
+}
+#: Directly in these, what is no part of a table stands before the table.
+FOSTERS = frozenset(("table", *PARTS, "tr", "colgroup"))
+#: Edges of what a part of a table belongs to.
+MARKS = frozenset(("table", *CELLS, "caption", "template"))
 #: A start tag ends open elements of these names, unless one of the others stands in between.
 IMPLIED = {
     "li": (("li",), ("ul", "ol", "menu")),
     "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
     "option": (("option",), ("select", "datalist")),
     "optgroup": (("optgroup", "option"), ("select", "datalist")),
-    "td": (CELLS, ("table",)), "th": (CELLS, ("table",)),
-    "tr": (("tr", "caption"), ("table",)),
-    **{p: ((*PARTS, "caption", "colgroup"), ("table",)) for p in PARTS},
+    "td": (CELLS, ("table", "template")), "th": (CELLS, ("table", "template")),
+    "tr": (("tr", "caption"), ("table", "template")),
+    **{p: ((*PARTS, "caption", "colgroup"), ("table", "template")) for p in PARTS},
     "body": (("head",), ()),
 }
 TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
@@ -99,6 +108,29 @@ def tree(html: str) -> tuple[Node, set[str]]:
     """The root of the tree, and the simple selectors that style sheets hide."""
     root = Node("#root", {})
     stack, open_names, hidden = [root], Counter(), set()
+    marks: list[int] = []  # depths of the open elements of MARKS
+
+    def cut(depth: int) -> None:
+        for node in stack[depth:]:
+            open_names[node.name] -= 1
+        del stack[depth:]
+        while marks and marks[-1] >= depth:
+            marks.pop()
+
+    def in_table(back: int = 1) -> bool:
+        return len(marks) >= back and stack[marks[-back]].name == "table"
+
+    def add(child) -> None:
+        """Append to the open element; directly in a table, before the table."""
+        if isinstance(child, Node):
+            strays = child.name not in INSIDE and child.name not in ("script", "style", "template", "form")
+        else:
+            strays = child.strip(" \t\n\f\r") != ""
+        if strays and stack[-1].name in FOSTERS and in_table():
+            # An open table is the last child of its parent.
+            stack[marks[-1] - 1].children.insert(-1, child)
+        else:
+            stack[-1].children.append(child)
 
     def close(names, stops=()) -> None:
         """End the innermost open element of ``names``, unless one of ``stops`` is nearer."""
@@ -106,23 +138,36 @@ def tree(html: str) -> tuple[Node, set[str]]:
             return
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].name in names:
-                for node in stack[depth:]:
-                    open_names[node.name] -= 1
-                del stack[depth:]
+                cut(depth)
                 return
             if stack[depth].name in stops:
                 return
 
     def start(name: str, given: dict[str, str]) -> None:
         node = Node(name, given)
-        stack[-1].children.append(node)
-        if name not in VOID:
+        if name == "table" and in_table():
+            cut(marks[-1])
+        elif name in INSIDE:
+            if in_table(2) and stack[marks[-1]].name in (*CELLS, "caption"):
+                cut(marks[-1])
+            if in_table():
+                depth = len(stack)
+                while stack[depth - 1].name not in INSIDE[name]:
+                    depth -= 1
+                cut(depth)
+                if name in CELLS and stack[-1].name != "tr":
+                    start("tr", {})
+        leaf = name in VOID or name == "form" and stack[-1].name in FOSTERS and in_table()
+        add(node)
+        if not leaf:
+            if name in MARKS:
+                marks.append(len(stack))
             stack.append(node)
             open_names[name] += 1
 
     for kind, name, extra in tokens(html):
         if kind == "text":
-            stack[-1].children.append(unescape(name))
+            add(unescape(name))
         elif kind == "raw":
             if extra == "style":
                 for selectors, body in RULE.findall(name):
@@ -139,9 +184,9 @@ def tree(html: str) -> tuple[Node, set[str]]:
             if name in IMPLIED:
                 names, stops = IMPLIED[name]
                 if name in ("tr", *PARTS):
-                    close(CELLS, ("table",))
+                    close(CELLS, ("table", "template"))
                 if name in PARTS:
-                    close(("tr",), ("table",))
+                    close(("tr",), ("table", "template"))
                 close(names, stops)
             if name in CELLS and stack[-1].name in ("table", *PARTS):
                 start("tr", {})
@@ -152,7 +197,7 @@ def tree(html: str) -> tuple[Node, set[str]]:
             start("p", {})
             close(("p",))
         else:
-            close((name,), () if name in (*CELLS, "tr", *PARTS, "table") else (*CELLS, "table"))
+            close((name,), () if name in (*CELLS, "tr", *PARTS, "table", "template") else (*CELLS, "table"))
     return root, hidden
 
 
@@ -247,9 +292,6 @@ def _table(page: Page, table: Node, hidden: set[str]) -> None:
         if isinstance(child, Node) and child.name == "caption" and shown(child, hidden):
             page.text(render(child, hidden).replace("\n", " "))
             page.end_line()
-        elif not isinstance(child, Node):
-            page.text(child)  # text between rows stands before the table
-    page.end_line()
     rows = [row for row in _cells(table, hidden) if any(text for text, _ in row)]
     widths: dict[int, int] = {}
     for row in rows:
