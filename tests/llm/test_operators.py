@@ -412,6 +412,35 @@ def test_html_shows_what_strays_in_a_table(html, text):
     assert text_of(html) == text
 
 
+@pytest.mark.parametrize(
+    "sheet, text",
+    [
+        ("@media print { .a { display:none } }", "a b"),
+        ("@media (max-width:600px) { .a { display:none } .b{visibility:hidden} }", "a b"),
+        ("@media\nscreen and (min-width: 40em) { .a { display:none } }", "b"),
+        ("@media print, screen { .a { display:none } } .b{color:red}", "b"),
+        ("@media print { @supports (x:y) { .a { display:none } } } .b{display:none}", "a"),
+        ("@keyframes k { from { display:none } } @charset 'x'; /* .b{ */ .a {display:none}", "b"),
+        (".a { display:none } .a { display:block }", "a b"),
+        (".a { display:none !important } .a { display:block }", "b"),
+        ("#i { display:inline } .a { display:none; }", "a b"),
+        (".a { display:none } .a { visibility:visible }", "b"),
+        (".a { display:block; .x { display:none } }", "a b"),
+    ],
+)
+def test_html_style_rules_of_the_screen(sheet, text):
+    page = f"<style>{sheet}</style><b class=a id=i>a</b> <b class=b>b</b>"
+    assert text_of(page) == text
+    assert text_of(page.replace("<style>", "<style media=print>")) == "a b"
+
+
+def test_html_shows_drawings_and_formulas():
+    drawing = "<svg><title>no</title><defs/><desc>no</desc><path d='x'/><text>one</text><text>two</text></svg>"
+    assert text_of(f"a {drawing} b") == "a one two b"
+    formula = "<math><semantics><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></semantics></math>"
+    assert text_of(f"a {formula} b") == "a x=1 b" and text_of("<desc>seen</desc>") == "seen"
+
+
 def test_html_table(spark):
     rows = [(1, "u", "<p>a", "old"), (2, None, None, "old"), (3, "u", "", None), (3, "u", "", None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -19,8 +19,13 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
     "head script style template noscript title iframe noembed noframes object audio video canvas"
-    " datalist svg math dialog".split()
+    " datalist dialog".split()
 )
+#: Elements of a drawing and of a formula that show nothing.
+UNSHOWN = {
+    "svg": frozenset("desc metadata defs symbol clippath mask marker pattern".split()),
+    "math": frozenset(("annotation", "annotation-xml")),
+}
 #: Blocks with an empty line around them, and blocks on lines of their own.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr".split())
 BLOCK = SPACED | frozenset(
@@ -52,8 +57,12 @@ IMPLIED = {
 TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 BLANKS = re.compile(r"[ \t\n\f\r]+")
-HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
-RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
+HIDING = {"display": ("none",), "visibility": ("hidden", "collapse")}
+NO_STYLE = re.compile(r"""/\*.*?(?:\*/|\Z)|"[^"\n]*"|'[^'\n]*'|<!--|-->""", re.S)
+EDGE = re.compile(r"[{};]")
+FEATURE = re.compile(r"\(\s*(min-|max-)?(width|height)\s*:\s*(\d*\.?\d+)\s*(px|r?em)?\s*\)$")
+#: The screen that conditions of style sheets are judged by.
+SCREEN = {"width": 1280, "height": 720}
 SELECTOR = re.compile(r"(?:[a-z][a-z0-9]*|[.#][\w-]+)$", re.I)
 
 
@@ -104,10 +113,96 @@ def attributes(source: str) -> dict[str, str]:
     return out
 
 
-def tree(html: str) -> tuple[Node, set[str]]:
-    """The root of the tree, and the simple selectors that style sheets hide."""
+class Rules(dict):
+    """Simple selector -> property -> (important, kind of selector, place, hides) of the rule that wins."""
+
+    read = 0
+
+
+def _holds(condition: str) -> bool:
+    """Whether a media condition holds for the screen; one that is not understood does not."""
+    for query in condition.lower().split(","):
+        query = " ".join(query.split()).removeprefix("only ")
+        turned = query.startswith("not ")
+        found = []
+        for part in query[4 * turned :].split(" and "):
+            feature = FEATURE.match(part)
+            if feature:
+                bound, name, number, unit = feature.groups()
+                size = float(number) * (16 if unit in ("em", "rem") else 1)
+                have = SCREEN[name]
+                found.append(have >= size if bound == "min-" else have <= size if bound else have == size)
+            elif part.strip("() ") in ("orientation: landscape", "orientation:landscape"):
+                found.append(True)
+            else:
+                found.append(part in ("", "all", "screen") if part.isalpha() or not part else None)
+        if None not in found and all(found) != turned:
+            return True
+    return False
+
+
+def _declared(body: str) -> dict[str, tuple[bool, bool]]:
+    """(important, hides) of ``display`` and ``visibility``, as the last declaration says."""
+    out: dict[str, tuple[bool, bool]] = {}
+    for declaration in body.lower().split(";"):
+        name, _, value = declaration.partition(":")
+        name = name.strip()
+        if name in HIDING:
+            value, mark, _ = value.partition("!")
+            if not (name in out and out[name][0]) or mark:
+                out[name] = bool(mark), value.strip() in HIDING[name]
+    return out
+
+
+def _read_style(sheet: str, rules: Rules) -> None:
+    """Add what the rules that hold for the screen say of simple selectors; the last one wins.
+
+    Blocks of at-rules are read if their condition holds; rules inside rules are passed over.
+    """
+    sheet = NO_STYLE.sub(" ", sheet)
+    blocks: list[str] = []  # of open blocks: read, passed or the selectors of a rule
+    own: list[str] = []  # declarations of the open rule
+    at = 0
+    for edge in EDGE.finditer(sheet):
+        before, at = sheet[at : edge.start()].strip(), edge.end()
+        inside = blocks[-1] if blocks else "@read"
+        if edge[0] == "{":
+            if inside != "@read":
+                blocks.append("@passed")
+            elif before.startswith("@"):
+                kind, condition = (*before[1:].lower().replace("(", " (", 1).split(None, 1), "", "")[:2]
+                read = kind == "layer" or kind == "media" and _holds(condition)
+                read = read or kind == "supports" and not condition.startswith("not")
+                blocks.append("@read" if read else "@passed")
+            else:
+                blocks.append(before)
+                own = []
+            continue
+        if not inside.startswith("@"):
+            own.append(before)
+        if edge[0] == "}" and blocks and not blocks.pop().startswith("@"):
+            _add_rule(inside, own, rules)
+    if blocks and not blocks[-1].startswith("@"):  # a rule that the sheet ends in
+        _add_rule(blocks[-1], [*own, sheet[at:]], rules)
+
+
+def _add_rule(selectors: str, own: list[str], rules: Rules) -> None:
+    said = _declared(";".join(own))
+    for selector in selectors.split(",") if said else ():
+        selector = selector.strip().lower()
+        if SELECTOR.match(selector):
+            known = rules.setdefault(selector, {})
+            weight = (".#".find(selector[0]) + 1, rules.read)
+            for name, (important, hides) in said.items():
+                new = (important, *weight, hides)
+                known[name] = max(known.get(name, new), new)
+    rules.read += 1
+
+
+def tree(html: str) -> tuple[Node, Rules]:
+    """The root of the tree, and what style sheets say of simple selectors."""
     root = Node("#root", {})
-    stack, open_names, hidden = [root], Counter(), set()
+    stack, open_names, rules = [root], Counter(), Rules()
     marks: list[int] = []  # depths of the open elements of MARKS
 
     def cut(depth: int) -> None:
@@ -144,6 +239,9 @@ def tree(html: str) -> tuple[Node, set[str]]:
                 return
 
     def start(name: str, given: dict[str, str]) -> None:
+        for drawn, unshown in UNSHOWN.items():
+            if name in unshown and open_names[drawn]:
+                given = {**given, "hidden": ""}
         node = Node(name, given)
         if name == "table" and in_table():
             cut(marks[-1])
@@ -170,11 +268,8 @@ def tree(html: str) -> tuple[Node, set[str]]:
             add(unescape(name))
         elif kind == "raw":
             if extra == "style":
-                for selectors, body in RULE.findall(name):
-                    if HIDING.search(body):
-                        hidden.update(
-                            s.strip().lower() for s in selectors.split(",") if SELECTOR.match(s.strip())
-                        )
+                if _holds(stack[-1].attributes.get("media", "").strip()):
+                    _read_style(name, rules)
             stack[-1].children.append(unescape(name) if extra in ("textarea", "title") else name)
         elif kind == "start":
             if name in ("html", "body") and open_names[name]:
@@ -191,6 +286,8 @@ def tree(html: str) -> tuple[Node, set[str]]:
             if name in CELLS and stack[-1].name in ("table", *PARTS):
                 start("tr", {})
             start(name, attributes(extra) if extra.strip(" /\n\t") else {})
+            if extra.endswith("/") and (open_names["svg"] or open_names["math"]) and name not in VOID:
+                close((name,))  # in a drawing or a formula an element may end in its start tag
         elif name == "br":
             start("br", {})
         elif name == "p" and not open_names["p"]:
@@ -198,20 +295,23 @@ def tree(html: str) -> tuple[Node, set[str]]:
             close(("p",))
         else:
             close((name,), () if name in (*CELLS, "tr", *PARTS, "table", "template") else (*CELLS, "table"))
-    return root, hidden
+    return root, rules
 
 
-def shown(node: Node, hidden: set[str]) -> bool:
+def shown(node: Node, rules: Rules) -> bool:
     given = node.attributes
     if node.name in HIDDEN and not (node.name == "dialog" and "open" in given):
         return False
-    if "hidden" in given or HIDING.search(given.get("style", "")):
+    if "hidden" in given:
         return False
-    if hidden:
-        names = {node.name, *(f".{c.lower()}" for c in given.get("class", "").split())}
-        names.add(f"#{given.get('id', '').lower()}")
-        return not names & hidden
-    return True
+    own = _declared(NO_STYLE.sub(" ", given["style"])) if "style" in given else {}
+    if not rules:
+        return not any(hides for _, hides in own.values())
+    names = [node.name, *(f".{c.lower()}" for c in given.get("class", "").split())]
+    names.append(f"#{given.get('id', '').lower()}")
+    said = [rules[n] for n in names if n in rules]
+    said.append({n: (important, 3, 0, hides) for n, (important, hides) in own.items()})
+    return not any(max((r[n] for r in said if n in r), default=(False,))[-1] for n in HIDING)
 
 
 class Page:
@@ -248,7 +348,7 @@ class Page:
         self.gap = True
 
 
-def _cells(table: Node, hidden: set[str]) -> list[list[tuple[str, int]]]:
+def _cells(table: Node, rules: Rules) -> list[list[tuple[str, int]]]:
     """(text, columns) of each visible cell, row by row; nested tables are text of their cell."""
     rows: list[list[tuple[str, int]]] = []
     carried: dict[int, int] = {}  # column -> rows that a cell above still covers
@@ -256,7 +356,7 @@ def _cells(table: Node, hidden: set[str]) -> list[list[tuple[str, int]]]:
     while queue:
         node = queue.pop()
         for child in reversed(node.children):
-            if isinstance(child, Node) and child.name in ("tr", *PARTS) and shown(child, hidden):
+            if isinstance(child, Node) and child.name in ("tr", *PARTS) and shown(child, rules):
                 if child.name != "tr":
                     queue.append(child)
                     continue
@@ -265,14 +365,14 @@ def _cells(table: Node, hidden: set[str]) -> list[list[tuple[str, int]]]:
             continue
         row, column = [], 0
         for cell in node.children:
-            if not (isinstance(cell, Node) and cell.name in CELLS and shown(cell, hidden)):
+            if not (isinstance(cell, Node) and cell.name in CELLS and shown(cell, rules)):
                 continue
             while carried.get(column, 0) > 0:
                 carried[column] -= 1
                 row.append(("", 1))
                 column += 1
             across, down = _number(cell, "colspan", 100), _number(cell, "rowspan", 1000)
-            row.append((" ".join(render(cell, hidden).split("\n")).strip(), across))
+            row.append((" ".join(render(cell, rules).split("\n")).strip(), across))
             for c in range(column, column + across):
                 carried[c] = down - 1
             column += across
@@ -285,14 +385,14 @@ def _number(node: Node, name: str, most: int) -> int:
     return min(max(int(digits), 1), most) if digits.isdecimal() and len(digits) < 9 else 1
 
 
-def _table(page: Page, table: Node, hidden: set[str]) -> None:
+def _table(page: Page, table: Node, rules: Rules) -> None:
     """Cells of a column under each other, columns two blanks apart."""
     page.space()
     for child in table.children:
-        if isinstance(child, Node) and child.name == "caption" and shown(child, hidden):
-            page.text(render(child, hidden).replace("\n", " "))
+        if isinstance(child, Node) and child.name == "caption" and shown(child, rules):
+            page.text(render(child, rules).replace("\n", " "))
             page.end_line()
-    rows = [row for row in _cells(table, hidden) if any(text for text, _ in row)]
+    rows = [row for row in _cells(table, rules) if any(text for text, _ in row)]
     widths: dict[int, int] = {}
     for row in rows:
         column = 0
@@ -311,7 +411,7 @@ def _table(page: Page, table: Node, hidden: set[str]) -> None:
     page.gap = True
 
 
-def render(root: Node, hidden: set[str]) -> str:
+def render(root: Node, rules: Rules) -> str:
     """The visible text of a subtree; an explicit stack, so depth is no limit."""
     page = Page()
     counters: list[list] = []  # of open lists: [next number or None]
@@ -329,6 +429,8 @@ def render(root: Node, hidden: set[str]) -> str:
             if name == "li":
                 page.end_line()
                 page.mark = ""
+            if name == "text":
+                page.text(" ")
             if name in SPACED and not (counters and name in ("ul", "ol")):
                 page.space()
             elif name in BLOCK:
@@ -345,16 +447,18 @@ def render(root: Node, hidden: set[str]) -> str:
                 page.text(node)
             continue
         name = node.name
-        if node is not root and not shown(node, hidden):
+        if node is not root and not shown(node, rules):
             continue
         if name == "br":
             page.end_line(always=True)
             continue
         if name == "table" and node is not root:
-            _table(page, node, hidden)
+            _table(page, node, rules)
             continue
         if name in CELLS and node is not root:
             page.text(" ")  # a cell outside any table
+        if name == "text":
+            page.text(" ")  # labels of a drawing stand apart
         if name in SPACED and not (counters and name in ("ul", "ol")):
             page.space()
         elif name in BLOCK:
