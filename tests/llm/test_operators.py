@@ -340,6 +340,32 @@ def test_license_scan(spark, none):
     assert scan_licenses(none).count() == 0
 
 
+@pytest.mark.parametrize("name", ["MIT", "Apache-2.0", "CC-BY-NC-4.0", "ISC"])
+def test_license_scan_finds_each_copy_of_a_run(spark, name):
+    notice, n = TEMPLATES[name], len(words(TEMPLATES[name]))
+    rows, wanted = [], []
+    for doc, (before, times, after) in enumerate(
+        [(3, 2, 0), (0, 3, 0), (0, 2, 4), (3, 2, 3), (12, 7, 1), (5, 300, 5), (0, 1, 0)]
+    ):
+        rows.append((doc, "foo " * before + f"{notice} " * times + "bar " * after))
+        wanted += [(doc, name, before + i * n, before + (i + 1) * n, n) for i in range(times)]
+    found = scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got(found, doc_id(), "license", "start", "end", "matched") == sorted(wanted, key=repr)
+
+
+def test_license_scan_of_edited_neighbours(spark):
+    rows = [
+        (1, "x Released under MIT License. Released under the MIT Licence. Released under the MIT License. y"),
+        (2, "we released a b c d e f. Released under the MIT License. y"),
+        (3, "Released now under the MIT License. Released under the MIT License."),
+        (4, " ".join(["lorem"] * 40 + TEMPLATES["ISC"].split()[1:] + TEMPLATES["ISC"].split()[:-2] + ["amet"])),
+    ]
+    found = scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = got(found, doc_id(), "license", "matched")
+    assert found == [(1, "MIT", 4), (1, "MIT", 4), (1, "MIT", 5), (2, "MIT", 5), (3, "MIT", 5), (3, "MIT", 5)] + [
+        (4, "ISC", len(words(TEMPLATES["ISC"])) - k) for k in (1, 2)][::-1]
+
+
 def test_license_scan_finds_planted_lines(spark):
     folder = "/root/testdata/sf0.01"
     found = Q.op6_license_scans(spark, folder)

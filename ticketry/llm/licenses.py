@@ -1,16 +1,17 @@
 """License scans by patience alignment.
 
 Where a text may hold a template is told by their common word pairs: each votes for the place the
-template would start at, and votes close together make a region. In a region, text and template are
-aligned by patience: words that occur once in both are anchors, the longest increasing sequence of
-them stays, and the gaps between are aligned the same way. The share of template words that are
-matched is the coverage.
+template would start at. Places are looked at by their votes, most first, in windows that end at
+findings made before, so copies that stand back to back are told apart. In a window, text and
+template are aligned by patience: words that occur once in both are anchors, the longest increasing
+sequence of them stays, and the gaps between are aligned the same way, those without anchors
+exactly. The share of template words that are matched is the coverage.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 
 import pyarrow as pa
@@ -62,11 +63,8 @@ COMMON = frozenset("a an and any at be by for in is it of on or that the this to
 WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
 #: Coverage a finding needs, in percent of the template's words.
 COVERAGE = 80
-#: Words that may be put in or left out between two votes of one region.
+#: Words that a window reaches beyond the template's length, before the widest is tried.
 SLACK = 8
-#: Gaps without an anchor are aligned exactly up to so many word pairs; longer ones give their
-#: common ends only.
-SMALL_GAP = 4096
 
 
 def words(text: str) -> list[str]:
@@ -92,7 +90,7 @@ def patience(text: list[str], template: list[str]) -> list[tuple[int, int]]:
             edges = [(a - 1, c - 1), *anchors, (b, d)]
             gaps += [(i + 1, k, j + 1, m) for (i, j), (k, m) in zip(edges, edges[1:])]
             found += anchors
-        elif (b - a) * (d - c) <= SMALL_GAP:
+        else:
             found += _common(text, template, a, b, c, d)
     return sorted(found)
 
@@ -118,7 +116,7 @@ def _anchors(text, template, a, b, c, d) -> list[tuple[int, int]]:
 
 
 def _common(text, template, a, b, c, d) -> list[tuple[int, int]]:
-    """A longest common subsequence of a small gap without anchors."""
+    """A longest common subsequence of a gap without anchors."""
     rows = [[0] * (d - c + 1) for _ in range(b - a + 1)]
     for i in range(b - a - 1, -1, -1):
         for j in range(d - c - 1, -1, -1):
@@ -145,41 +143,84 @@ def _pairs(templates: dict[str, list[str]]) -> dict[tuple[str, str], list[tuple[
     return index
 
 
-def regions(found: list[str], templates, index) -> list[tuple[str, int, int]]:
-    """(template, from, to): where votes of a template lie close together, and its length about."""
-    votes: dict[str, list[int]] = {}
+def places(found: list[str], index) -> dict[str, dict[int, list[int]]]:
+    """Template -> place it would start at -> places of the word pairs that vote for it."""
+    votes: dict[str, dict[int, list[int]]] = {}
     if index.keys().isdisjoint(zip(found, found[1:])):
-        return []
+        return votes
     for i, pair in enumerate(zip(found, found[1:])):
         for name, j in index.get(pair, ()):
-            votes.setdefault(name, []).append(i - j)
-    out = []
-    for name, starts in votes.items():
-        listed, starts = templates[name], sorted(starts)
-        low = 0
-        for k in range(1, len(starts) + 1):
-            if k == len(starts) or starts[k] - starts[k - 1] > SLACK:
-                a = max(0, starts[low] - SLACK)
-                b = min(len(found), starts[k - 1] + len(listed) + SLACK)
-                out.append((name, a, b))
-                low = k
-    return out
+            votes.setdefault(name, {}).setdefault(i - j, []).append(i)
+    return votes
+
+
+def _compact(found: list[str], matched: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same words, each as late before the next as it occurs; the last one stays."""
+    out = matched[-1:]
+    for i, j in reversed(matched[:-1]):
+        at = out[-1][0] - 1
+        while found[at] != found[i]:
+            at -= 1
+        out.append((at, j))
+    return out[::-1]
+
+
+def _finding(found: list[str], listed: list[str], start: int, lo: int, hi: int, need: int):
+    """(first word, word after the last, matched words) of a copy near ``start`` in lo..hi, or None."""
+    n = len(listed)
+    a, b = max(lo, start - n), min(hi, start + 2 * n)
+    here = Counter(found[a:b])
+    if sum(min(k, here[w]) for w, k in Counter(listed).items()) < need:
+        return None
+    best, tried = None, set()
+    for more in (0, min(SLACK, n), n):
+        window = a, b = max(lo, start - more), min(hi, start + n + more)
+        if b - a < need or window in tried:
+            continue
+        tried.add(window)
+        matched = patience(found[a:b], listed)
+        if len(matched) < need:
+            continue
+        matched = _compact(found[a:b], matched)
+        first, last = a + matched[0][0], a + matched[-1][0] + 1
+        if last - first > 2 * n:
+            continue
+        # Words that are put in weigh against words that are matched, so that copies stay apart.
+        score = 3 * len(matched) - (last - first), len(matched)
+        if best is None or score > best[0]:
+            best = score, (first, last, len(matched))
+        if len(matched) == n == last - first:
+            break
+    return best and best[1]
+
+
+def _copies(found: list[str], listed: list[str], votes: dict[int, list[int]], coverage: int):
+    """(first word, word after the last, matched words) of each copy of a template; none overlap."""
+    need = -(-coverage * len(listed) // 100)
+    taken: list[tuple[int, int, int]] = []
+    for start in sorted(votes, key=lambda s: (-len(votes[s]), s)):
+        looked = -1  # end of the free stretch looked at last
+        for place in votes[start]:
+            if place < looked:
+                continue
+            k = bisect_right(taken, (place, len(found) + 1, 0))
+            lo = taken[k - 1][1] if k else 0
+            hi = taken[k][0] if k < len(taken) else len(found)
+            if place < lo:
+                continue  # inside a finding
+            looked = hi
+            hit = _finding(found, listed, start, lo, hi, need)
+            if hit:
+                insort(taken, hit)
+    return taken
 
 
 def scan(text: str, templates: dict[str, list[str]], index, coverage: int = COVERAGE):
     """(template, first word, word after the last, matched words) of each finding in a text."""
     found = words(text)
     hits = []
-    for name, a, b in regions(found, templates, index):
-        listed = templates[name]
-        while a < b:
-            matched = patience(found[a:b], listed)
-            if 100 * len(matched) < coverage * len(listed):
-                break
-            first, last = a + matched[0][0], a + matched[-1][0] + 1
-            if last - first <= 2 * len(listed):
-                hits.append((name, first, last, len(matched)))
-            a = last  # the region may hold the template again
+    for name, votes in places(found, index).items():
+        hits += [(name, *hit) for hit in _copies(found, templates[name], votes, coverage)]
     # A notice inside a longer one is part of it.
     hits.sort(key=lambda h: (h[1] - h[2], h[0]))
     kept: list[tuple] = []
