@@ -12,6 +12,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from tests.compare import compare, duck
 from tests.llm import brute
+from ticketry.llm.queries import QUERIES
 from ticketry.llm.sql import ORACLES
 from ticketry.llm.tokens import default_path, load
 
@@ -29,6 +30,12 @@ def test_every_operator_is_registered():
     assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
 
 
+def test_bench_times_every_training_data_query():
+    import bench
+
+    assert set(bench.OPTIONAL) == {*QUERIES, "pipeline"}
+
+
 def test_pipeline(spark, tmp_path):
     result = corpus_pipeline.run(spark, FOLDER).collect()
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
