@@ -353,6 +353,14 @@ def test_license_scan_finds_each_copy_of_a_run(spark, name):
     assert got(found, doc_id(), "license", "start", "end", "matched") == sorted(wanted, key=repr)
 
 
+def test_license_scan_tells_each_wording(spark):
+    # One finding for each whole template: its own, also where another differs by a word.
+    texts = [(i, f"foo bar {TEMPLATES[n]} amet dolor") for i, n in enumerate(TEMPLATES)]
+    found = scan_licenses(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert [r[1] for r in sorted(got(found, doc_id(), "license"))] == list(TEMPLATES)
+    assert {"BSD-2-Clause", "BSD-3-Clause", "MIT-full", "AGPL-3.0-header", "LGPL-2.1-header", "Unlicense"} <= set(TEMPLATES)
+
+
 def test_license_scan_of_edited_neighbours(spark):
     rows = [
         (1, "x Released under MIT License. Released under the MIT Licence. Released under the MIT License. y"),

@@ -19,8 +19,62 @@ from pyspark.sql import DataFrame
 
 from ticketry.llm.common import keyed
 
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
+    " and associated documentation files (the \"Software\"), to deal in the Software without"
+    " restriction, including without limitation the rights to use, copy, modify, merge, publish,"
+    " distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the"
+    " Software is furnished to do so, subject to the following conditions:"
+)
+_GNU = (
+    "{0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1}"
+    " as published by the Free Software Foundation; either version {2} of the License, or (at your"
+    " option) any later version. {0} is distributed in the hope that it will be useful, but WITHOUT"
+    " ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR"
+    " PURPOSE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted"
+    " provided that the following conditions are met: Redistributions of source code must retain the"
+    " above copyright notice, this list of conditions and the following disclaimer. Redistributions"
+    " in binary form must reproduce the above copyright notice, this list of conditions and the"
+    " following disclaimer in the documentation and/or other materials provided with the"
+    " distribution.{} THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND"
+    " ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF"
+    " MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE"
+    " COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,"
+    " EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE"
+    " GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND"
+    " ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING"
+    " NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF"
+    " THE POSSIBILITY OF SUCH DAMAGE."
+)
 # The wording of public license notices.
 TEMPLATES = {
+    "MIT-full": _MIT + (
+        " The above copyright notice and this permission notice shall be included in all copies or"
+        " substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF"
+        " ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,"
+        " FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR"
+        " COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF"
+        " CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE"
+        " OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "BSD-2-Clause": _BSD.format(""),
+    "BSD-3-Clause": _BSD.format(
+        " Neither the name of the copyright holder nor the names of its contributors may be used to"
+        " endorse or promote products derived from this software without specific prior written"
+        " permission."
+    ),
+    "GPL-2.0-header": _GNU.format("This program", "General Public License", "2"),
+    "LGPL-2.1-header": _GNU.format("This library", "Lesser General Public License", "2.1"),
+    "LGPL-3.0-header": _GNU.format("This library", "Lesser General Public License", "3"),
+    "AGPL-3.0-header": _GNU.format("This program", "Affero General Public License", "3"),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy,"
+        " modify, publish, use, compile, sell, or distribute this software, either in source code form or"
+        " as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file"
@@ -40,13 +94,7 @@ TEMPLATES = {
         " MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
     ),
     "MIT": "Released under the MIT License.",
-    "MIT-text": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
-        " and associated documentation files (the \"Software\"), to deal in the Software without"
-        " restriction, including without limitation the rights to use, copy, modify, merge, publish,"
-        " distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the"
-        " Software is furnished to do so, subject to the following conditions:"
-    ),
+    "MIT-text": _MIT,
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or"
         " without fee is hereby granted, provided that the above copyright notice and this permission"
@@ -221,8 +269,8 @@ def scan(text: str, templates: dict[str, list[str]], index, coverage: int = COVE
     hits = []
     for name, votes in places(found, index).items():
         hits += [(name, *hit) for hit in _copies(found, templates[name], votes, coverage)]
-    # A notice inside a longer one is part of it.
-    hits.sort(key=lambda h: (h[1] - h[2], h[0]))
+    # A notice inside a longer one is part of it; of one stretch, the wording that fits best stays.
+    hits.sort(key=lambda h: (h[1] - h[2], -h[3], len(templates[h[0]]), h[0]))
     kept: list[tuple] = []
     for hit in hits:
         if not any(k[1] <= hit[1] and hit[2] <= k[2] and k[3] >= hit[3] for k in kept):
