@@ -11,6 +11,7 @@ from ticketry.llm.bpe import encode
 from ticketry.llm.common import doc_id, documents
 from ticketry.llm.html_text import extract_text
 from ticketry.llm.licenses import scan_licenses
+from ticketry.llm.mixing import mix
 from ticketry.llm.packing import pack
 from ticketry.llm.quality_rules import BASE, judge
 from ticketry.llm.sharding import shard
@@ -83,10 +84,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
+    taken = F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"])
+    first = F.array_min(F.transform("copies", lambda c: c["position"]))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", taken.alias("taken"), first.alias("first_position")
+    ).orderBy(F.asc_nulls_last("first_position"), "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_topk_search, op2_simhash_near_dedup, op3_html_extraction, op4_suffix_array_dedup, op5_bpe_codec,
         op6_license_scans, op7_best_fit_packing, op8_substring_dedup, op9_weighted_tree_sharding, op10_quality_rules,
+        op11_curriculum_mixing,
     )
 }

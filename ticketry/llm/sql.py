@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ticketry.llm.mixing import REPEATS, SCHEDULES, SLICE_DIGITS, WEIGHTS, areas
 from ticketry.llm.quality_rules import ENOUGH, LEADING, MEASURES, REACH
 from ticketry.llm.sharding import GROWN, SLICES, TREE
 
@@ -170,9 +171,61 @@ LEFT JOIN fences o ON o.level = 2 AND o.lang IS NOT DISTINCT FROM m.lang AND o.s
 LEFT JOIN fences l ON l.level = 1 AND l.lang IS NOT DISTINCT FROM m.lang
 LEFT JOIN fences e ON e.level = 0"""
 
+
+
+def _inverted(demand: str, knots) -> str:
+    cases = ""
+    for before, after, start, weight, slope in areas(knots):
+        x = f"greatest({demand} - {before!r}::DOUBLE, 0::DOUBLE)"
+        root = f"sqrt(greatest({weight * weight!r}::DOUBLE + {2 * slope!r}::DOUBLE * {x}, 0::DOUBLE))"
+        u = f"CASE WHEN {x} > 0 THEN 2::DOUBLE * {x} / ({weight!r}::DOUBLE + {root}) ELSE 0::DOUBLE END"
+        cases += f" WHEN {demand} < {after!r}::DOUBLE THEN {start!r}::DOUBLE + {u}"
+    return f"least(CASE{cases} ELSE 1::DOUBLE END, 1::DOUBLE)"
+
+
+_SCHEDULED = " ".join(
+    f"WHEN {k} THEN {_inverted('(start::DOUBLE / budget::DOUBLE)', s)}" for k, s in enumerate(SCHEDULES)
+)
+
+MIXED = f"""
+WITH rows AS (
+  SELECT row_number() OVER () AS r, doc_id, source, len({WORDS})::BIGINT AS size,
+    md5(coalesce(doc_id::VARCHAR, 'text ' || md5(coalesce(text, '')))) AS place FROM documents),
+sizes AS (SELECT source, sum(size)::BIGINT AS n FROM rows GROUP BY source),
+ranked AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS rank FROM sizes),
+weighed AS (SELECT *, ({list(WEIGHTS)})[(rank % {len(WEIGHTS)} + 1)::BIGINT] AS w FROM ranked),
+filled AS (
+  SELECT *, n * {REPEATS} AS most,
+    (sum(n) OVER () - coalesce(sum(n * {REPEATS}) OVER ahead, 0))::BIGINT AS rest,
+    (sum(w) OVER () - coalesce(sum(w) OVER ahead, 0))::BIGINT AS heavy
+  FROM weighed
+  WINDOW ahead AS (ORDER BY n / w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+stopped AS (SELECT *, rest::DOUBLE * w > most::DOUBLE * heavy AS stops FROM filled),
+targets AS (
+  SELECT source, n AS source_size, rank, CASE WHEN stops THEN most::DOUBLE ELSE
+    first_value(CASE WHEN NOT stops THEN rest END IGNORE NULLS) OVER line::DOUBLE * w
+    / first_value(CASE WHEN NOT stops THEN heavy END IGNORE NULLS) OVER line END AS target
+  FROM stopped
+  WINDOW line AS (ORDER BY n / w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+lined AS (
+  SELECT r, doc_id, size, source_size, target, rank, floor(target)::BIGINT AS budget,
+    coalesce(sum(size) OVER (PARTITION BY rank ORDER BY place[:{SLICE_DIGITS}], place, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "before"
+  FROM rows JOIN targets ON rows.source IS NOT DISTINCT FROM targets.source),
+copies AS (
+  SELECT r, epoch * source_size + "before" AS start, rank, budget, size
+  FROM lined, range({REPEATS}) t(epoch) WHERE size > 0 AND epoch * source_size + "before" < budget),
+taken AS (
+  SELECT r, sum(least(budget - start, size))::BIGINT AS taken,
+    min(CASE rank % {len(SCHEDULES)} {_SCHEDULED} END) AS first_position
+  FROM copies GROUP BY r)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, first_position
+FROM lined LEFT JOIN taken USING (r)"""
+
 ORACLES: dict[str, str] = {
     "op1_topk_search": TOP_K,
     "op8_substring_dedup": SUBSTRINGS,
     "op9_weighted_tree_sharding": SHARDS,
     "op10_quality_rules": QUALITY,
+    "op11_curriculum_mixing": MIXED,
 }
