@@ -13,6 +13,7 @@ from ticketry.llm.html_text import extract_text
 from ticketry.llm.licenses import scan_licenses
 from ticketry.llm.mixing import mix
 from ticketry.llm.packing import pack
+from ticketry.llm.prefix_trie import prefix_trie, sequences, with_openings
 from ticketry.llm.quality_rules import BASE, judge
 from ticketry.llm.sharding import shard
 from ticketry.llm.simhash import near_duplicates
@@ -93,11 +94,16 @@ def op11_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).orderBy(F.asc_nulls_last("first_position"), "doc_id")
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return prefix_trie(with_openings(sequences(turns), every=100, most=5))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_topk_search, op2_simhash_near_dedup, op3_html_extraction, op4_suffix_array_dedup, op5_bpe_codec,
         op6_license_scans, op7_best_fit_packing, op8_substring_dedup, op9_weighted_tree_sharding, op10_quality_rules,
-        op11_curriculum_mixing,
+        op11_curriculum_mixing, op12_conversation_trie,
     )
 }

@@ -222,10 +222,51 @@ taken AS (
 SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, first_position
 FROM lined LEFT JOIN taken USING (r)"""
 
+TRIE = f"""
+WITH tab AS (SELECT list({CRC_TABLE} ORDER BY i) AS tab FROM range(256) t(i)),
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations
+  WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT conv_id, turn, md5(length(role) || ':' || role || text)[:24] AS id, length(text) AS points FROM turns),
+own AS (
+  SELECT conv_id, id, points, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id, points) AS i
+  FROM ids),
+convs AS (
+  SELECT conv_id, ({_crc("hex(encode(conv_id::VARCHAR))")}) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), tab),
+given AS (
+  SELECT c.conv_id, o.id, o.points, o.i FROM convs c JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 100 AND o.i <= c.h
+  UNION ALL
+  SELECT c.conv_id, o.id, o.points, o.i FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.i > c.h),
+steps AS (
+  SELECT conv_id, points, row_number() OVER line AS depth,
+    array_to_string(list(id) OVER (line ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS path
+  FROM given WINDOW line AS (PARTITION BY conv_id ORDER BY i)),
+whole AS (SELECT c.conv_id, coalesce(max_by(path, depth), '') AS path FROM convs c LEFT JOIN steps USING (conv_id) GROUP BY 1),
+members AS (
+  SELECT conv_id, points, depth, path FROM steps UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+nodes AS (
+  SELECT path, any_value(depth)::BIGINT AS depth, min(conv_id)::BIGINT AS conv_id, count(*) AS n_convs,
+    any_value(points)::BIGINT AS points FROM members GROUP BY path),
+below AS (
+  SELECT a.path, b.points * (b.n_convs - 1) AS saved,
+    NOT EXISTS (FROM nodes x WHERE x.depth = b.depth + 1 AND x.path[:-25] = b.path) AS leaf
+  FROM nodes a JOIN nodes b ON b.depth >= a.depth AND starts_with(b.path, a.path)),
+sums AS (
+  SELECT path, count(*) FILTER (leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM below GROUP BY path),
+ends AS (SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM whole GROUP BY path)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs,
+  (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.path[:-25] = n.path) AS n_children,
+  n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes n JOIN sums USING (path) LEFT JOIN ends USING (path)
+LEFT JOIN nodes up ON up.depth = n.depth - 1 AND up.path = n.path[:-25]"""
+
 ORACLES: dict[str, str] = {
     "op1_topk_search": TOP_K,
     "op8_substring_dedup": SUBSTRINGS,
     "op9_weighted_tree_sharding": SHARDS,
     "op10_quality_rules": QUALITY,
     "op11_curriculum_mixing": MIXED,
+    "op12_conversation_trie": TRIE,
 }
