@@ -17,6 +17,7 @@ from ticketry.llm.prefix_trie import prefix_trie, sequences, with_openings
 from ticketry.llm.quality_rules import BASE, judge
 from ticketry.llm.sharding import shard
 from ticketry.llm.simhash import near_duplicates
+from ticketry.llm.spelling import spelling_variants, vocabulary
 from ticketry.llm.substring_dedup import substring_dedup
 from ticketry.llm.suffix_dedup import suffix_dedup
 from ticketry.llm.topk import top_k
@@ -99,11 +100,15 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(with_openings(sequences(turns), every=100, most=5))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(vocabulary(documents(spark, sf_dir).select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_topk_search, op2_simhash_near_dedup, op3_html_extraction, op4_suffix_array_dedup, op5_bpe_codec,
         op6_license_scans, op7_best_fit_packing, op8_substring_dedup, op9_weighted_tree_sharding, op10_quality_rules,
-        op11_curriculum_mixing, op12_conversation_trie,
+        op11_curriculum_mixing, op12_conversation_trie, op13_spelling_variants,
     )
 }

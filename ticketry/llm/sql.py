@@ -262,6 +262,39 @@ SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs,
 FROM nodes n JOIN sums USING (path) LEFT JOIN ends USING (path)
 LEFT JOIN nodes up ON up.depth = n.depth - 1 AND up.path = n.path[:-25]"""
 
+SPELLING = f"""
+WITH RECURSIVE tab AS (SELECT list({CRC_TABLE} ORDER BY i) AS tab FROM range(256) t(i)),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS times FROM runs GROUP BY ALL),
+hexed AS (SELECT *, hex(encode(concat(doc_id::VARCHAR, ':', run))) AS key FROM counted),
+numbered AS (SELECT run, times, {_crc("key")} AS h FROM hexed, tab),
+altered AS (
+  SELECT times, CASE WHEN h % 97 = 0
+    THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM numbered),
+words AS (
+  SELECT word, sum(times)::BIGINT AS n FROM altered WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+gaps AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, (list({{'form': other, 'm': m}} ORDER BY m DESC, other))[1] AS top
+  FROM pairs GROUP BY word),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN top.m >= 2 * n THEN top.form END AS form,
+    CASE WHEN top.m >= 2 * n THEN top.m END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+ways AS (
+  SELECT word, word AS stop, 0 AS steps FROM forms
+  UNION ALL SELECT w.word, f.form, steps + 1 FROM ways w JOIN forms f ON f.word = w.stop WHERE f.form IS NOT NULL),
+roots AS (SELECT word, max_by(stop, steps) AS root FROM ways GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)"""
+
 ORACLES: dict[str, str] = {
     "op1_topk_search": TOP_K,
     "op8_substring_dedup": SUBSTRINGS,
@@ -269,4 +302,5 @@ ORACLES: dict[str, str] = {
     "op10_quality_rules": QUALITY,
     "op11_curriculum_mixing": MIXED,
     "op12_conversation_trie": TRIE,
+    "op13_spelling_variants": SPELLING,
 }
