@@ -568,9 +568,135 @@ SELECT doc_id AS id_ticket, real_cat, pred_cat, CASE WHEN real_cat = pred_cat TH
 
 ORACLES["score_lot_nb"] = bayes("tf", False)
 ORACLES["score_lot_meta"] = bayes("(1 + ln(tf))", True)
-for _kind in ("lr", "svm"):
-    ORACLES[f"score_lot_{_kind}"] = with_tables(
-        PARTS, "SELECT doc_id AS id_ticket, lang AS real_cat, true AS ok_cuadra, true AS f1_alcanza FROM docs WHERE NOT train"
-    )
 ORACLES["grid_search"] = """
 SELECT 'nb' AS kind, p::DOUBLE AS parameter, f::INT AS fold, true AS f1_alcanza FROM (VALUES (0.5), (1.0), (2.0)) t(p), range(5) r(f)"""
+
+
+# --- linear models --------------------------------------------------------------------------
+def fold_features(points: list[float], folded: bool) -> str:
+    """Texts as weighted terms, by set: f learns from the rows outside fold f, and is asked for those
+    inside it. Single fits have one set, and fold 0 are the rows to score."""
+    fold = "((row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), '42:' || doc_id) - 1) % 5)::INT"
+    rows = f"SELECT doc_id, text, lang, {fold} AS fold FROM docs WHERE train" if folded else (
+        "SELECT doc_id, text, lang, CASE WHEN train THEN 1 ELSE 0 END AS fold FROM docs")
+    values = ", ".join(f"({p}::DOUBLE)" for p in points)
+    return rf"""{PARTS.strip()},
+rows AS MATERIALIZED ({rows}),
+sets AS (SELECT f::INT AS f FROM range({5 if folded else 1}) t(f)),
+points AS (SELECT p FROM (VALUES {values}) t(p)),
+words AS (SELECT doc_id, fold, regexp_extract_all(lower(strip_accents(text)), '[\pL\pN_]{{2,}}') AS w FROM rows),
+terms AS (
+  SELECT doc_id, fold, unnest(w) AS term FROM words
+  UNION ALL SELECT doc_id, fold, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words),
+counts AS MATERIALIZED (SELECT doc_id, fold, term, count(*) AS tf FROM terms GROUP BY ALL),
+total AS (SELECT f, count(*) AS n FROM rows JOIN sets ON fold <> f GROUP BY f),
+vocabulary AS (SELECT f, term, ln((1 + n) / (1 + count(*))::DOUBLE) + 1 AS idf FROM counts JOIN total ON fold <> f
+  GROUP BY f, term, n HAVING count(*) >= 2 AND count(*) <= n * 0.9),
+raw AS (SELECT f, doc_id, fold, term, tf * idf AS raw FROM counts JOIN vocabulary USING (term)),
+weighted AS MATERIALIZED (
+  SELECT f, doc_id, fold, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY f, doc_id)) AS x FROM raw)"""
+
+
+def linear(kind: str, points: list[float], folded: bool, steps: int, select: str) -> str:
+    """Linear models by accelerated gradient descent over the rows they learn from.
+
+    ``gram`` holds the products of all rows with those learned from, in order; of the SVM with the
+    intercept's feature of value one.
+    """
+    one = 1 if kind == "svm" else 0
+    bend = "2 * max(p)" if kind == "svm" else "max(p) / 2"
+    shared = f"""RECURSIVE {fold_features(points, folded)},
+products AS (
+  SELECT a.f, a.doc_id AS a, b.doc_id AS b, sum(a.x * b.x) AS k FROM weighted a JOIN weighted b USING (f, term)
+  WHERE b.fold <> b.f GROUP BY ALL),
+numbered AS (
+  SELECT f, doc_id, lang, fold <> f AS learns, row_number() OVER (PARTITION BY f ORDER BY fold = f, doc_id) AS i
+  FROM rows, sets),
+gram AS MATERIALIZED (
+  SELECT a.f, a.i, any_value(a.learns) AS learns, any_value(a.doc_id) AS doc_id, any_value(a.lang) AS lang,
+    list(coalesce(k, 0) + {one} ORDER BY b.i) AS line, sum(coalesce(k, 0) + 1) AS total
+  FROM numbered a JOIN numbered b ON a.f = b.f AND b.learns
+  LEFT JOIN products z ON z.f = a.f AND z.a = a.doc_id AND z.b = b.doc_id GROUP BY a.f, a.i),
+bends AS (SELECT f, 1 + {bend} * max(total) AS bend FROM gram, points WHERE learns GROUP BY f),
+own AS MATERIALIZED (
+  SELECT f, c.lang, list(CASE WHEN n.lang = c.lang THEN 1.0::DOUBLE ELSE {-1 if kind == 'svm' else 0}::DOUBLE END ORDER BY i) AS s
+  FROM numbered n, (SELECT DISTINCT lang FROM rows) c WHERE learns GROUP BY f, c.lang),
+"""
+    start = "list_transform(s, lambda x: 0::DOUBLE)"
+    ahead = "list_transform(list_zip(a, b), lambda z: z[1] + (sqrt(bend) - 1) / (sqrt(bend) + 1) * (z[1] - z[2]))"
+    if kind == "svm":
+        way = f"""
+way AS (
+  SELECT 0 AS step, f, p, lang, {start} AS a, {start} AS b, 0::DOUBLE AS c, 0::DOUBLE AS d FROM own, points
+  UNION ALL
+  SELECT step + 1, f, p, lang,
+    list(v[i] - (v[i] - 2 * p * s[i] * greatest(0, 1 - s[i] * list_dot_product(line, v))) / bend ORDER BY i),
+    any_value(a), 0, 0
+  FROM (SELECT way.*, s, bend, {ahead} AS v FROM way JOIN own USING (f, lang) JOIN bends USING (f) WHERE step < {steps}) w
+  JOIN (SELECT f, i, line FROM gram WHERE learns) g USING (f)
+  GROUP BY step, f, p, lang),"""
+    else:
+        way = f"""
+way AS (
+  SELECT 0 AS step, f, p, lang, {start} AS a, {start} AS b, 0::DOUBLE AS c, 0::DOUBLE AS d FROM own, points
+  UNION ALL
+  SELECT step + 1, f, p, lang, list(vi - (vi + p * (share - si)) / bend ORDER BY i), list(ai ORDER BY i),
+    any_value(e) - sum(p * (share - si)) / any_value(bend), any_value(c)
+  FROM (
+    SELECT *, exp(m - top) / sum(exp(m - top)) OVER (PARTITION BY step, f, p, i) AS share
+    FROM (
+      SELECT *, max(m) OVER (PARTITION BY step, f, p, i) AS top
+      FROM (
+        SELECT step, f, p, lang, i, c, e, bend, v[i] AS vi, s[i] AS si, a[i] AS ai, list_dot_product(line, v) + e AS m
+        FROM (SELECT way.*, s, bend, {ahead} AS v, c + (sqrt(bend) - 1) / (sqrt(bend) + 1) * (c - d) AS e
+          FROM way JOIN own USING (f, lang) JOIN bends USING (f) WHERE step < {steps}) w
+        JOIN (SELECT f, i, line FROM gram WHERE learns) g USING (f))))
+  GROUP BY step, f, p, lang),"""
+    last = f"""
+fitted AS (SELECT f, p, lang, a, c FROM way WHERE step = {steps}),
+scored AS (
+  SELECT g.f, p, g.doc_id, g.lang AS real_cat, w.lang AS pred_cat, list_dot_product(line, a) + c AS margin
+  FROM gram g JOIN fitted w USING (f) WHERE NOT learns),
+best AS (SELECT f, p, doc_id, real_cat, arg_max(pred_cat, margin) AS pred_cat FROM scored GROUP BY ALL)"""
+    return f"WITH {shared}{way.strip()}{last}\n{select}"
+
+
+PREDICTED = "SELECT doc_id AS id_ticket, real_cat, pred_cat, CASE WHEN real_cat = pred_cat THEN 1 ELSE 0 END AS ok FROM best"
+
+
+def points_of(kind: str) -> str:
+    """Macro F1 of each parameter and fold, over the classes that are real or found there."""
+    return f"""
+SELECT '{kind}' AS kind, p AS parameter, f AS fold, round(avg(2 * hits / (n_real + n_pred)), 6) AS f1_macro FROM (
+  SELECT f, p, lang, count(*) FILTER (real_cat = lang AND pred_cat = lang) AS hits,
+    count(*) FILTER (real_cat = lang) AS n_real, count(*) FILTER (pred_cat = lang) AS n_pred
+  FROM best, (SELECT DISTINCT lang FROM rows) GROUP BY f, p, lang) WHERE n_real + n_pred > 0 GROUP BY f, p"""
+
+
+def bayes_points(points: list[float]) -> str:
+    """Naive Bayes for each smoothing and fold."""
+    return f"""WITH {fold_features(points, True)},
+langs AS (SELECT doc_id, lang FROM rows),
+sums AS (SELECT f, lang, term, sum(x) AS s FROM weighted JOIN langs USING (doc_id) WHERE fold <> f GROUP BY ALL),
+size AS (SELECT f, count(DISTINCT term) AS v FROM sums GROUP BY f),
+classes AS (
+  SELECT d.f, p, d.lang, ln(d.n / t.n) AS prior, ln(p / (s + p * v)) AS base
+  FROM (SELECT f, lang, count(*) AS n FROM rows JOIN sets ON fold <> f GROUP BY ALL) d JOIN total t USING (f)
+  JOIN (SELECT f, lang, sum(s) AS s FROM sums GROUP BY ALL) USING (f, lang) JOIN size USING (f), points),
+found AS (
+  SELECT w.f, c.p, w.doc_id, c.lang, sum(x) * any_value(base) + sum(x * coalesce(ln((s + p) / p), 0)) AS score
+  FROM weighted w JOIN classes c USING (f) LEFT JOIN sums z ON z.f = w.f AND z.term = w.term AND z.lang = c.lang
+  WHERE w.fold = w.f GROUP BY ALL),
+best AS (
+  SELECT r.fold AS f, c.p, r.doc_id, any_value(r.lang) AS real_cat, arg_max(c.lang, prior + coalesce(score, 0)) AS pred_cat
+  FROM rows r JOIN classes c ON c.f = r.fold LEFT JOIN found z ON z.f = r.fold AND z.p = c.p AND z.doc_id = r.doc_id AND z.lang = c.lang
+  GROUP BY r.fold, c.p, r.doc_id)
+{points_of("nb")}"""
+
+
+GRID_POINTS = [0.5, 1.0, 2.0]
+ORACLES["score_lot_lr"] = linear("lr", [2.0], False, 500, PREDICTED)
+ORACLES["score_lot_svm"] = linear("svm", [1.0], False, 600, PREDICTED)
+ORACLES["grid_search_nb"] = bayes_points(GRID_POINTS)
+ORACLES["grid_search_lr"] = linear("lr", GRID_POINTS, True, 300, points_of("lr"))
+ORACLES["grid_search_svm"] = linear("svm", GRID_POINTS, True, 400, points_of("svm"))

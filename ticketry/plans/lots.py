@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import catalogs as C
 from ..functions.text import lot_text, strip_blank
 from ..operators.columns import require_columns
 from ..operators.metrics import class_report, confusion, global_report
-from ..operators.models import score_lot
+from ..operators.models import load_model, score_lot
 from ..sources import sinks
 from ..sources.files import read_exported
 
@@ -44,6 +43,6 @@ def publish_scores(
 def run_lot(
     spark: SparkSession, model: str, path: str, out: str, labels: list[str] | None = None
 ) -> DataFrame:
-    """Score a lot file with a saved model. The figures are over the fixed list of labels."""
-    scored = score_lot(PipelineModel.load(model), read_lot(spark, path))
+    """Score a lot file with a saved model, of whatever kind. The figures are over the fixed list of labels."""
+    scored = score_lot(load_model(spark, model), read_lot(spark, path))
     return publish_scores(scored, out, C.LABELS if labels is None else labels)

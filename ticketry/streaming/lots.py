@@ -1,12 +1,12 @@
-"""Score lot files as they arrive: the batch scoring on a stream, row by row, stateless."""
+"""Score lot files as they arrive: the batch scoring, file after file, stateless."""
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import lot_text, strip_blank
+from ..operators.models import TextModel, score_lot
 
 LOT_SCHEMA = (
     "id_ticket string, canal string, prioridad string, resumen string, descripcion string,"
@@ -26,18 +26,25 @@ def read_lots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def score_arriving(
-    spark: SparkSession, model: PipelineModel, folder: str, out: str, checkpoint: str
+    spark: SparkSession, model: TextModel, folder: str, out: str, checkpoint: str
 ) -> StreamingQuery:
     """Start the stream for the files that are there now; each file is scored once.
 
-    ``checkpoint`` must lie in a folder all executors share.
+    A batch writes its own files' folders anew, so one that runs again after a failure leaves the same
+    rows. ``checkpoint`` must lie in a folder all executors share.
     """
-    scored = model.transform(read_lots(spark, folder)).select(
-        "lote", "id_ticket", "real_cat", "pred_cat",
-        (F.col("real_cat") == F.col("pred_cat")).cast("int").alias("ok"),
-    )
+
+    def score(batch: DataFrame, _: int) -> None:
+        lots = batch.persist()
+        try:
+            scored = score_lot(model, lots).join(lots.select("id_ticket", "lote"), "id_ticket")
+            scored.select("lote", "id_ticket", "real_cat", "pred_cat", "ok").write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy("lote").parquet(out)
+        finally:
+            lots.unpersist()
+
     return (
-        scored.writeStream.format("parquet").partitionBy("lote").outputMode("append")
-        .option("path", out).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        read_lots(spark, folder).writeStream.foreachBatch(score)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
