@@ -33,6 +33,10 @@ def test_dialects(spark, tmp_path):
     assert probe(spark, write(tmp_path / "a.csv", "a|b\n1|\"x\ny\"\n")).multiline
     old = probe(spark, write(tmp_path / "b.csv", "a,b\nñ,1\n", "cp1252"))
     assert (old.separator, old.encoding, old.multiline) == (",", "windows-1252", False)
+    signs = write(tmp_path / "c.csv", "a,precio €\nñ,5 €\n“x”,œ,zu viel\n", "cp1252")
+    table, refused = read_numbered(spark, signs, "_p")
+    assert [tuple(r) for r in table.collect()] == [(0, "ñ", "5 €")] and refused.first().refused == 1
+    assert table.columns == ["_p", "a", "precio €"]
 
 
 def test_run(spark, tmp_path):

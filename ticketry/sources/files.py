@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import catalogs as C
 from ..operators.columns import first_available
 from ..session import written
+from .records import decoded, parsed, quoted_text, read_records, readable
 
 SEPARATORS = [";", ",", "\t", "|"]
 # Lines a separator is judged by; the data are read in full.
@@ -33,8 +34,8 @@ def probe(spark: SparkSession, path: str, sample_lines: int = PROBE_LINES) -> Di
     """Advice on a file: separator from its first ``sample_lines`` lines; encoding and multi-line cells from the whole text.
 
     One distributed pass decides what a task-by-task reader could not: whether any byte
-    sequence is invalid, and whether any quoted cell runs over a line end. Only files that
-    need it are read whole by one task each; all others stay splittable.
+    sequence is invalid, and whether any quoted cell may run over a line end. Files of both kinds are
+    read by many tasks; those without such cells once less (see ``records``).
     """
     lines = spark.read.text(path)
     raw = F.col("value").cast("binary")
@@ -69,12 +70,14 @@ def _cells(line: str, separator: str) -> list[str]:
 def _header(spark: SparkSession, path: str, dialect: Dialect) -> list[str]:
     """Header cells; a repeated name gets a counter, so every column can be addressed."""
     first = (
-        spark.read.option("sep", dialect.separator).option("encoding", dialect.encoding)
+        spark.read.option("sep", dialect.separator).option("encoding", readable(dialect.encoding))
         .option("multiLine", dialect.multiline).option("header", False)
         .option("escape", '"').csv(path).limit(1).first()
     )
     names: list[str] = []
     for i, cell in enumerate(first):
+        if cell and dialect.encoding == "windows-1252":
+            cell = cell.encode("latin-1").decode("cp1252", "replace")
         name = (cell or f"Unnamed: {i}").removeprefix("﻿")
         repeat = sum(1 for n in names if n == name or n.startswith(name + "."))
         names.append(f"{name}.{repeat}" if name in names else name)
@@ -84,26 +87,35 @@ def _header(spark: SparkSession, path: str, dialect: Dialect) -> list[str]:
 def _scan(
     spark: SparkSession, path: str, dialect: Dialect, names: list[str], escape: str
 ) -> DataFrame:
+    """Cells c0, c1, ... and the corrupt record; with places (see ``mark_places``), where cells run over
+    line ends."""
+    if dialect.multiline:
+        records = read_records(spark, path, dialect.separator, dialect.encoding, escape)
+        return parsed(records, len(names), dialect.separator, escape, CORRUPT)
     schema = T.StructType(
         [T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]
         + [T.StructField(CORRUPT, T.StringType())]
     )
-    return (
+    rows = (
         spark.read.schema(schema)
-        .option("sep", dialect.separator).option("encoding", dialect.encoding)
-        .option("multiLine", dialect.multiline).option("header", True)
-        .option("enforceSchema", True)
+        .option("sep", dialect.separator).option("encoding", readable(dialect.encoding))
+        .option("header", True).option("enforceSchema", True)
         .option("quote", '"').option("escape", escape)
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
         # Whether a row is too long must not depend on the columns a query asks for.
         .option("columnPruning", False)
         .csv(path)
     )
+    if dialect.encoding != "windows-1252":
+        return rows
+    return rows.withColumns({c: decoded(F.col(c), dialect.encoding) for c in rows.columns})
 
 
-def _too_long(width: int, separator: str) -> "F.Column":
+def _too_long(width: int, separator: str, escape: str = '"') -> "F.Column":
     """A flagged row with more cells than the header; shorter rows are padded and kept."""
-    bare = F.regexp_replace(CORRUPT, r'"(?:[^"]|"")*"', "q")
+    # A quote opens a cell at its first place only; elsewhere it is a sign like any other.
+    cell = rf'(?s)(^|{re.escape(separator)})"{quoted_text(escape)}(?:"|$)'
+    bare = F.regexp_replace(CORRUPT, cell, "$1q")
     cells = F.size(F.split(bare, re.escape(separator), -1))
     # Spark refuses a scan that asks for the flag alone. The first cell, a part of its line,
     # goes along with it and decides nothing.
@@ -143,10 +155,12 @@ def read_numbered(
     dialect = dialect or probe(spark, path)
     names = _header(spark, path, dialect)
     scan = _scan(spark, path, dialect, names, '"')
-    marked = mark_places(scan.withColumn("_long", _too_long(len(names), dialect.separator)))
-    parsed = written(marked.drop(CORRUPT))
-    kept = number_places(parsed.where("NOT _long"), position)
-    return _finish(kept, names, [position]), parsed.agg(F.count_if("_long").alias("refused"))
+    marked = scan.withColumn("_long", _too_long(len(names), dialect.separator))
+    if not dialect.multiline:
+        marked = mark_places(marked)
+    table = written(marked.drop(CORRUPT))
+    kept = number_places(table.where("NOT _long"), position)
+    return _finish(kept, names, [position]), table.agg(F.count_if("_long").alias("refused"))
 
 
 def read_exported(spark: SparkSession, path: str) -> DataFrame:
@@ -167,7 +181,7 @@ def read_strict(
     dialect = dialect or probe(spark, path)
     names = _header(spark, path, dialect)
     scan = _scan(spark, path, dialect, names, "\\")
-    long = _too_long(len(names), dialect.separator)
+    long = _too_long(len(names), dialect.separator, "\\")
     return _finish(scan.where(~long), names, []), scan.where(long).select(
         F.col(CORRUPT).alias("linea")
     )
