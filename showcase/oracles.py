@@ -265,6 +265,10 @@ SELECT CASE WHEN id_ticket % 10 = 0 THEN id_ticket END, ticket_code, asunto, id_
 ORACLES["reload_lineage"] = facts("""
 SELECT id_ticket, 'synt' AS origen, 'V-' || ticket_code AS id_origen FROM f_tickets WHERE id_ticket % 10 <> 0
 UNION ALL SELECT id_ticket, 'manual', ticket_code FROM f_tickets""")
+ORACLES["reload_snapshot"] = facts("""
+SELECT 'V-' || ticket_code AS ticket_code, 'antiguo' AS asunto, 'synt' AS origen, 'V-' || ticket_code AS id_origen, sla_met, 2 AS version
+FROM f_tickets WHERE id_ticket % 10 <> 0
+UNION ALL SELECT ticket_code, asunto, 'manual', ticket_code, sla_met, 2 FROM f_tickets""")
 ORACLES["first_per_key"] = """
 SELECT l_partkey, l_orderkey, l_linenumber, l_quantity FROM (
   SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_quantity) AS rn FROM lineitem) WHERE rn = 1"""

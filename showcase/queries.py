@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -12,8 +13,10 @@ from ticketry.functions import dates, ids, text, values
 from ticketry.operators import (
     bayes, classify as K, columns, features, kpi, metrics, models, normalize, quality, repair, training_sets, warehouse,
 )
-from ticketry.session import written
+from ticketry.plans import warehouse_load
+from ticketry.session import shared_folder, written
 from ticketry.sources.positions import parquet_positions
+from ticketry.sources.snapshots import Snapshots
 from ticketry.vocabulary import CATEGORIES, WILDCARD_TERMS, default_terms
 
 from . import standins as S
@@ -344,6 +347,22 @@ def reload_lineage(spark, sf):
     return warehouse.reload_lineage(old, existing, load, S.facts(spark, sf))
 
 
+@query
+def reload_snapshot(spark, sf):
+    """Facts with their lineage as a reader finds them after a load on top of an earlier one."""
+    root = f"{shared_folder(spark)}/gold-{uuid.uuid4().hex}"
+    snapshots, existing = Snapshots(spark, root), _earlier(spark, sf)
+    origin = lambda fresh: fresh["f_tickets"].select(
+        "id_ticket", F.lit("synt").alias("origen"), F.col("ticket_code").alias("id_origen")
+    )
+    snapshots.publish({"f_tickets": existing, "map_id_origen": origin}, 0, "earlier")
+    version = warehouse_load.load(spark, root, S.staging(spark, sf), "again")
+    tables = snapshots.read()
+    return tables["f_tickets"].join(tables["map_id_origen"], "id_ticket", "full").select(
+        "ticket_code", "asunto", "origen", "id_origen", "sla_met", F.lit(version).alias("version")
+    )
+
+
 @query
 def first_per_key(spark, sf):
     """First line item of each part, of one with very many rows as of any other."""

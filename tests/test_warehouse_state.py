@@ -4,24 +4,22 @@ from __future__ import annotations
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from ticketry import catalogs as C
 from ticketry.operators import warehouse
+from ticketry.plans import warehouse_load
 from ticketry.sources import sinks
+from ticketry.sources.snapshots import Conflict, Snapshots
 
 STAMP = datetime.datetime(2024, 1, 1)
 
 
 def facts(spark, rows):
     """(id_ticket, ticket_code, asunto) as fact rows."""
-    schema = (
-        "id_ticket long, ticket_code string, id_canal int, id_prioridad int, id_estado int, id_tipo_real int,"
-        " asunto string, descripcion string, fecha_creacion timestamp_ntz, fecha_resolucion timestamp_ntz,"
-        " first_response_time_min long, time_to_resolution_min long, sla_met int"
-    )
     full = [(i, c, 1, 1, 1, None, a, "", STAMP, None, None, None, None) for i, c, a in rows]
-    return spark.createDataFrame(full, schema)
+    return spark.createDataFrame(full, warehouse.FACT_SCHEMA)
 
 
 def staged(spark, codes):
@@ -64,3 +62,88 @@ def test_reloading_one_model_version_leaves_the_others(spark, tmp_path):
     sinks.write_versions(rows.where("modelo_version = 'v1.1'").withColumn("id_ticket", F.lit(3).cast("long")), path)
     found = spark.read.parquet(path).select("id_ticket", "modelo_version").collect()
     assert sorted(tuple(r) for r in found) == [(1, "v1.0"), (3, "v1.1")]
+
+
+def staging(spark, rows):
+    """(id_ticket, resumen, fecha_creacion) as staged rows."""
+    cells = (
+        "id_ticket", "canal", "prioridad", "estado", "categoria", "resumen", "descripcion", "fecha_creacion",
+        "first_reply_at", "fecha_cierre", "sla_met", "origen", "id_origen",
+    )
+    full = [(i, "EMAIL", "Alta", "Abierto", "HW", r, "", at, "", "", "", "", "") for i, r, at in rows]
+    return spark.createDataFrame(full, ", ".join(f"{c} string" for c in cells))
+
+
+def seen(spark, root, version=None):
+    """(code, subject, number, origin id) of each fact with its lineage, as a reader finds them."""
+    tables = warehouse_load.current(Snapshots(spark, root), version)
+    assert warehouse_load.orphans(tables).isEmpty()
+    rows = tables["f_tickets"].join(tables["map_id_origen"], "id_ticket", "left")
+    return sorted((r.ticket_code, r.asunto, r.id_ticket, r.id_origen) for r in rows.collect())
+
+
+FIRST = [("a", "old", "2024-01-01 10:00:00"), ("b", "old", "2024-01-02 10:00:00")]
+SECOND = [("b", "new", "2024-01-02 10:00:00"), ("c", "new", "2024-01-03 10:00:00"), ("d", "undated", "")]
+
+
+def test_a_load_changes_facts_and_lineage_together(spark, tmp_path):
+    root = str(tmp_path / "gold")
+    assert seen(spark, root) == []
+    assert warehouse_load.load(spark, root, staging(spark, FIRST), "one") == 1
+    before = seen(spark, root)
+    assert [x[:2] for x in before] == [("a", "old"), ("b", "old")] and all(x[0] == x[3] for x in before)
+    assert warehouse_load.load(spark, root, staging(spark, SECOND), "two") == 2
+    after = seen(spark, root)
+    assert [x[:2] for x in after] == [("a", "old"), ("b", "new"), ("c", "new")]
+    assert {x[0]: x[2] for x in after[:2]} == {x[0]: x[2] for x in before} and after[2][2] == 403
+    assert all(x[0] == x[3] for x in after) and seen(spark, root, 1) == before
+    # The same load again is no load.
+    assert warehouse_load.load(spark, root, staging(spark, SECOND), "two") == 2
+    rejects = Snapshots(spark, root).read()["rechazos"].collect()
+    assert [(r.id_ticket, r.motivos) for r in rejects] == [("d", ["fecha_creacion"])]
+
+
+def test_a_load_that_stops_between_the_tables_leaves_the_version_before(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "gold")
+    warehouse_load.load(spark, root, staging(spark, FIRST))
+    before = seen(spark, root)
+
+    def stop(*_):
+        raise KeyboardInterrupt  # the facts are written, the lineage is not
+
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse, "reload_lineage", stop)
+        with pytest.raises(KeyboardInterrupt):
+            warehouse_load.load(spark, root, staging(spark, SECOND))
+    with monkeypatch.context() as patch:
+        patch.setattr(Snapshots, "_put", stop)  # all tables are written, the manifest is not
+        with pytest.raises(KeyboardInterrupt):
+            warehouse_load.load(spark, root, staging(spark, SECOND))
+    assert Snapshots(spark, root).version() == 1 and seen(spark, root) == before
+    assert warehouse_load.load(spark, root, staging(spark, SECOND)) == 2
+    assert [x[:2] for x in seen(spark, root)] == [("a", "old"), ("b", "new"), ("c", "new")]
+
+
+def test_of_two_writers_the_second_is_told(spark, tmp_path):
+    snapshots = Snapshots(spark, str(tmp_path))
+    row = lambda x: spark.createDataFrame([(x,)], "x string")
+    snapshots.publish({"one": row("a"), "two": row("a")}, 0)
+    reader = snapshots.read()
+    snapshots.publish({"one": row("b")}, 1, "first")
+    with pytest.raises(Conflict):
+        snapshots.publish({"one": row("c")}, 1, "second")
+    assert snapshots.publish({"one": row("d")}, 1, "first") == 2
+    assert {n: t.first().x for n, t in snapshots.read().items()} == {"one": "b", "two": "a"}
+    assert reader["one"].first().x == "a"  # a reader keeps the version it started with
+    assert not [f for f in (tmp_path / "manifests").iterdir() if f.name.startswith(".") and "crc" not in f.name]
+
+
+def test_expired_versions_go_with_their_tables(spark, tmp_path):
+    snapshots = Snapshots(spark, str(tmp_path))
+    row = lambda x: spark.createDataFrame([(x,)], "x string")
+    snapshots.publish({"one": row("a"), "two": row("a")}, 0)
+    for version, x in ((1, "b"), (2, "c")):
+        snapshots.publish({"one": row(x)}, version)
+    assert snapshots.expire(keep=1) == [1, 2] and snapshots.versions() == [3]
+    assert {n: t.first().x for n, t in snapshots.read().items()} == {"one": "c", "two": "a"}
+    assert len(list(tmp_path.glob("data/*/one"))) == 1

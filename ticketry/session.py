@@ -43,20 +43,25 @@ def local_session(cores: int | str = 8, app: str = "ticketry", **extra: str) ->
     return spark
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the cluster's shared folder, read from there on.
-
-    What several branches of a query read is computed once, and a lost executor costs its own
-    tasks only. The folder named in ``spark.checkpoint.dir`` wins; only where none is named
-    (tests, one machine) a folder of our own is used.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; only where none is named (tests, one machine) a
+    folder of our own. Whoever names the folder clears it, when no query runs."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         folder = tempfile.mkdtemp(prefix="ticketry-tables-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/ticketry-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the cluster's shared folder, read from there on.
+
+    What several branches of a query read is computed once, and a lost executor costs its own
+    tasks only.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/ticketry-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
