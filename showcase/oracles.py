@@ -704,3 +704,24 @@ ORACLES["score_lot_svm"] = linear("svm", [1.0], False, 600, PREDICTED)
 ORACLES["grid_search_nb"] = bayes_points(GRID_POINTS)
 ORACLES["grid_search_lr"] = linear("lr", GRID_POINTS, True, 300, points_of("lr"))
 ORACLES["grid_search_svm"] = linear("svm", GRID_POINTS, True, 400, points_of("svm"))
+ORACLES["best_grid_point"] = f"""
+SELECT parameter, round(f1, 6) AS f1_macro FROM (
+  SELECT parameter, avg(f1_macro) AS f1 FROM ({ORACLES["grid_search_nb"]}) GROUP BY parameter) ORDER BY f1 DESC, parameter LIMIT 1"""
+
+# --- files ----------------------------------------------------------------------------------
+ORACLES["scan_multiline"] = """
+SELECT doc_id, lang, md5(coalesce(text, '')) AS huella, true AS denso, (SELECT count(*) FROM documents) AS filas, 0 AS refused FROM documents"""
+ORACLES["scan_strict"] = """
+SELECT CASE WHEN doc_id % 7 = 0 THEN 'rechazo' ELSE 'fila' END AS parte, doc_id::VARCHAR AS clave FROM documents"""
+ORACLES["published_metrics"] = ORACLES["global_metrics"]
+ORACLES["published_confusion"] = ORACLES["confusion_dense"]
+ORACLES["tickets_by_channel"] = f"""
+SELECT canal, count(*) AS n_canal, count(*) AS n_total FROM ({ORACLES["unify_sources"]})
+WHERE canal IN {members(CATALOGUE["canal"])} GROUP BY canal"""
+ORACLES["run_report"] = f"""
+WITH counted AS ({ORACLES["value_counts"]}), impact AS ({ORACLES["rule_impact"]})
+SELECT 'total' AS metrica, '' AS clave, sum(n)::BIGINT AS valor FROM counted WHERE columna = 'canal'
+UNION ALL SELECT 'por_' || columna, valor, n FROM counted
+UNION ALL SELECT 'impacto_diccionarios', fuente || '.' || medida, valor
+FROM (UNPIVOT impact ON filas_con_add, filas_con_neg, filas_ajustadas_por_reglas INTO NAME medida VALUE valor)"""
+ORACLES["lot_from_file"] = ORACLES["score_lot_nb"]

@@ -13,8 +13,9 @@ from ticketry.functions import dates, ids, text, values
 from ticketry.operators import (
     bayes, classify as K, columns, features, kpi, metrics, models, normalize, quality, repair, training_sets, warehouse,
 )
-from ticketry.plans import warehouse_load
+from ticketry.plans import lots, publish, warehouse_load
 from ticketry.session import shared_folder, written
+from ticketry.sources import files, sinks
 from ticketry.sources.positions import parquet_positions
 from ticketry.sources.snapshots import Snapshots
 from ticketry.vocabulary import CATEGORIES, WILDCARD_TERMS, default_terms
@@ -792,3 +793,133 @@ def grid_search_lr(spark, sf):
 @query
 def grid_search_svm(spark, sf):
     return _searched(spark, sf, "svm")
+
+
+@query
+def best_grid_point(spark, sf):
+    train, _ = _split_documents(spark, sf)
+    parameter, f1 = models.best_parameter(models.grid_search(train, models.ModelSpec("nb")))
+    return spark.range(1).select(F.lit(parameter).alias("parameter"), F.round(F.lit(f1), 6).alias("f1_macro"))
+
+
+# --- files ---------------------------------------------------------------------------------
+def _folder(spark, name):
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _exported(spark, table, name):
+    """A table as text with header; cells keep their blanks and line ends."""
+    path = _folder(spark, name)
+    options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escapeQuotes": True}
+    table.write.options(sep=";", header=True, escape='"', emptyValue="", nullValue="", **options).csv(path)
+    return path
+
+
+@query
+def scan_multiline(spark, sf):
+    """Texts with line ends in their cells, written as delimited files and found again by position."""
+    docs = S.documents(spark, sf, "doc_id", "lang", "text")
+    path = _exported(spark, docs, "multiline")
+    rows, refused = files.read_numbered(spark, path, "position")
+    dense = rows.agg(
+        (F.count_distinct("position") == F.max("position") + 1).alias("denso"), F.count("*").alias("filas")
+    )
+    return rows.join(F.broadcast(dense)).join(F.broadcast(refused)).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "lang", F.md5("text").alias("huella"), "denso", "filas", "refused"
+    )
+
+
+@query
+def scan_strict(spark, sf):
+    """Good rows, and the lines that have a cell too many."""
+    odd = F.when(F.col("doc_id") % 7 == 0, F.lit(";de mas")).otherwise(F.lit(""))
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), r'[\\"]', "'")
+    lines = S.documents(spark, sf, "doc_id", "source", "text").select(
+        (F.col("doc_id") % 8).alias("part"), F.lit(1).alias("place"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(";"), "source", F.lit(';"'), text, F.lit('"'), odd).alias("value"),
+    )
+    heads = spark.range(8).select(F.col("id").alias("part"), F.lit(0).alias("place"), F.lit("doc_id;source;text").alias("value"))
+    path = _folder(spark, "strict")
+    ordered = lines.unionByName(heads).repartition(8, "part").sortWithinPartitions("part", "place")
+    ordered.drop("place").write.partitionBy("part").text(path)
+    good, bad = files.read_strict(spark, f"{path}/*")
+    return good.select(F.lit("fila").alias("parte"), F.col("doc_id").alias("clave")).unionByName(
+        bad.select(F.lit("rechazo").alias("parte"), F.split_part("linea", F.lit(";"), F.lit(1)).alias("clave"))
+    )
+
+
+def _prediction_files(spark, sf):
+    """Each experiment's predictions in a folder of their own, under different headers."""
+    scored, configs = S.predicted_codes(spark, sf), []
+    for k, (experiment, number, version, dataset) in enumerate(
+        (("E1", 1, "E1_NB", "VALID"), ("E1", 1, "E1_SVM", "VALID"), ("L4", 3, "SVM_v1.1", "L4_manual"))
+    ):
+        path = _folder(spark, "predictions")
+        rows = scored.where(F.col("modelo_version") == version)
+        if k == 1:
+            rows = rows.withColumnsRenamed({"real_cat": "y_true", "pred_cat": "y_pred"})
+            sinks.write_tickets(rows.select("id_ticket", "y_true", "y_pred", "ok"), path)
+        else:
+            sinks.write_predictions(rows, path)
+        configs.append(
+            {"path": path, "experimento": experiment, "id_experimento": number, "modelo_version": version, "dataset": dataset}
+        )
+    return configs
+
+
+@query
+def published_metrics(spark, sf):
+    """From prediction files to the table of global figures."""
+    out = _folder(spark, "results")
+    publish.export_results(spark, _prediction_files(spark, sf), out)
+    return spark.read.parquet(f"{out}/ml_resultado_global")
+
+
+@query
+def published_confusion(spark, sf):
+    out = _folder(spark, "results")
+    publish.export_results(spark, _prediction_files(spark, sf), out)
+    return spark.read.parquet(f"{out}/ml_confusion")
+
+
+@query
+def tickets_by_channel(spark, sf):
+    """Tickets written as one file set and as one per channel, counted in both."""
+    tickets = written(unify_sources(spark, sf))
+    one, each = _folder(spark, "tickets"), _folder(spark, "channels")
+    sinks.write_tickets(tickets, one)
+    sinks.write_by_channel(tickets, each)
+    stated = files.Dialect(";", "UTF-8", True)
+    counted = lambda path, n: files.read_tolerant(spark, path, stated).agg(F.count("*").alias(n))
+    split = reduce(
+        DataFrame.unionByName,
+        [counted(f"{each}/canal={c}", "n_canal").withColumn("canal", F.lit(c)) for c in quality.CATALOGUE["canal"]],
+    )
+    whole = files.read_tolerant(spark, one, stated).groupBy("canal").agg(F.count("*").alias("n_total"))
+    return split.join(whole, "canal")
+
+
+@query
+def run_report(spark, sf):
+    tickets = normalize.normalize_tickets(S.tickets_raw(spark, sf), "fuente", "k")
+    report, path = sinks.run_report(tickets, normalize.rule_impact(tickets)), _folder(spark, "report")
+    sinks.write_report(report, path)
+    return spark.read.schema("metrica string, clave string, valor long").json(path).select(
+        "metrica", F.coalesce("clave", F.lit("")).alias("clave"), "valor"
+    )
+
+
+@query
+def lot_from_file(spark, sf):
+    """A lot from its file through a saved model to the file of predictions."""
+    train, valid = _split_documents(spark, sf)
+    model, out = _folder(spark, "model"), _folder(spark, "scored")
+    models.train_model(train, models.ModelSpec("nb", 0.5)).save(model)
+    lot = valid.select(
+        "id_ticket", "canal", "prioridad", F.lit("").alias("resumen"), F.col("texto").alias("descripcion"),
+        F.col("real_cat").alias("categoria"),
+    )
+    lots.run_lot(spark, model, _exported(spark, lot, "lot"), out, ["de", "en", "es", "fr"])
+    return spark.read.schema("id_ticket long, real_cat string, pred_cat string, ok int").options(
+        sep=";", header=True
+    ).csv(f"{out}/predictions")
