@@ -33,6 +33,8 @@ LENGTH = 400
 TRIGGER, SPAN = 8, 128
 #: Classes of one centre that are ordered in memory; beyond it strings are counted one by one.
 ORDERED = 4096
+#: A class of more places is met by parts, so that no task has it alone.
+HEAVY, PARTS = 4096, 64
 #: Classes gathered before a batch of centres is ordered.
 GATHERED = 16384
 
@@ -51,15 +53,20 @@ def _phrases(data: bytes, length: int):
         yield places[first] + TRIGGER, first + at, last + at
 
 
+def _keys(batch: pa.RecordBatch):
+    """(__id, __th) of each row. Texts are taken out one at a time: a batch of them is large."""
+    return zip(batch.column("__id").to_pylist(), batch.column("__th").to_pylist())
+
+
 def _occurrences(length: int):
     tail = length - SPAN
 
     def run(batches):
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("__id", "__th", "__text")))
-            for doc, th, text in rows:
-                data = text.encode()
+            texts = batch.column("__text")
+            for i, (doc, th) in enumerate(_keys(batch)):
+                data = texts[i].as_buffer().to_pybytes()
                 for ends, first, last in _phrases(data, length):
                     far, near = ends - first, ends - last
                     n = len(ends)
@@ -92,10 +99,10 @@ def _sides(length: int):
     def run(batches):
         for batch in batches:
             out = [[] for _ in range(9)]
-            rows = zip(*(batch.column(c).to_pylist() for c in ("__id", "__th", "__text", "places")))
-            for doc, th, text, places in rows:
-                data = text.encode()
-                for place in places:
+            texts, lists = batch.column("__text"), batch.column("places")
+            for i, (doc, th) in enumerate(_keys(batch)):
+                data = texts[i].as_buffer().to_pybytes()
+                for place in lists[i].as_py():
                     b, far, near = place["b"], place["reach"] // 1024, place["reach"] % 1024
                     left = data[b - far : b - TRIGGER][::-1]
                     right = data[b + tail : b - near + length]
@@ -246,7 +253,18 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         )
     )
     many = cut(classes.groupBy("centre").agg(F.count("*").alias("m")).where("m > 1"))
-    whole = places.join(classes.where("n > 1").select("centre", "whole"), ["centre", "whole"])
+    # A heavy class is dealt to parts: one row in HEAVY at most is such a class, so its rows for all
+    # parts are few against the places. What is left has no key with more than HEAVY rows.
+    heavy = cut(
+        classes.where(F.col("n") > HEAVY)
+        .select("centre", "whole", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    )
+    dealt = places.withColumn("part", F.pmod(F.xxhash64("__id", "__th", "b"), F.lit(PARTS)).cast("int"))
+    light = classes.where(F.col("n").between(2, HEAVY)).select("centre", "whole", F.lit(True).alias("twice"))
+    marked = dealt.join(heavy.withColumn("hot", F.lit(True)), ["centre", "whole", "part"], "left")
+    # Heavy rows need no second look: they go along under their part, not under their class.
+    marked = marked.withColumn("whole", F.when(F.col("hot"), F.xxhash64("part")).otherwise(F.col("whole")))
+    whole = marked.join(light, ["centre", "whole"], "left").where("hot OR twice")
     spans = whole.select(
         "__id", "__th",
         (F.col("b") - F.expr("reach div 1024")).alias("start"),
@@ -282,8 +300,9 @@ def _cut_bytes():
     def run(batches):
         for batch in batches:
             out = [[] for _ in range(3)]
-            for text, spans in zip(batch.column("__text").to_pylist(), batch.column("spans")):
-                data = text.encode()
+            # One text at a time as well; what is kept of a batch is no larger than the batch.
+            for text, spans in zip(batch.column("__text"), batch.column("spans")):
+                data = text.as_buffer().to_pybytes()
                 runs, kept, at = [], [], 0
                 if spans.is_valid:
                     starts = spans.values.field("start").to_numpy()
