@@ -1,18 +1,22 @@
 """Packing of token sequences by a configuration linear program over the length histogram.
 
-The histogram has one count per length, so its size depends on the capacity alone. The linear
-program asks for as few sequences as possible, each filled by some configuration (so many pieces of
-this length, so many of that), that together take all pieces. Multiplicative weights solve it: a
-length weighs the more, the less of it is covered, and the next configuration is the one of most
-weight that fits, found by dynamic programming over the capacity. The solution is rounded down to
-whole sequences; what is left over is packed best-fit decreasing, on counts too.
+The histogram has one count per length, so its size depends on the capacity alone. Lengths are grouped
+by the unit above them. The linear program asks for as few sequences as possible, each filled by some
+configuration (so many pieces of this group, so many of that), that together take all pieces.
+Multiplicative weights solve it: a group weighs the more, the less of it is covered, and the next
+configuration is the one of most weight that fits, found by dynamic programming over the capacity;
+rounds go on until every group is covered. The solution, scaled to what there is, is rounded to whole sequences, so that their
+sum falls behind the program's by less than one. A configuration takes the longest pieces of its groups,
+and the last two so that they fill the room that rounding to units has left. What is left over is packed
+best-fit decreasing, on counts too.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +27,8 @@ from ticketry.llm.common import cut, doc_id, keyed
 from ticketry.llm.tokens import Encoder, default_path, portions
 
 CAPACITY, END = 4096, 1
-#: Rounds of the multiplicative weights times the capacity, and their step.
-WORK, STEP = 1 << 20, 0.1
+#: Step of the multiplicative weights, and units of the capacity that lengths are grouped by.
+STEP, UNITS = 0.1, 256
 #: Pieces under one part in SHORT of the capacity fill the room that is left.
 SHORT = 32
 #: Slices a length is numbered in, so that a frequent length is no single task.
@@ -59,20 +63,98 @@ def _knapsack(sizes: np.ndarray, values: np.ndarray, capacity: int) -> Pattern:
 
 
 def _weighted(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> dict[tuple, float]:
-    """Configurations and how often each is used, by multiplicative weights."""
+    """Configurations and how often each is used, by multiplicative weights, until all is covered.
+
+    Scaled so that no size is used more often than it is there; then all configurations have room.
+    """
     covered = np.zeros(len(sizes))
     used: dict[tuple, float] = defaultdict(float)
-    for _ in range(min(WORK // capacity, 40 * len(sizes))):
-        # A token is worth a token, the less the more of its length is covered already.
-        weight = np.where(covered < 1, np.exp(-covered / STEP), 0) * sizes
-        if not weight.any():
-            break
+    while (covered < 1).any():
+        # A token is worth a token, the less the more of its size is covered already.
+        weight = np.exp(-covered / STEP) * sizes
         pattern = _knapsack(sizes, weight / weight.max(), capacity)
         at, times = np.array(pattern).T
         amount = float((STEP * counts[at] / times).min())
         covered[at] += amount * times / counts[at]
         used[tuple(pattern)] += amount
-    return used
+    return {pattern: amount / covered.max() for pattern, amount in used.items()}
+
+
+class _Stock:
+    """Pieces that are left, by length."""
+
+    def __init__(self, left: dict[int, int], unit: int):
+        self.left, self.unit, self.lengths = left, unit, sorted(left)
+
+    def _drop(self, length: int) -> None:
+        del self.left[length]
+        del self.lengths[bisect_left(self.lengths, length)]
+
+    def down(self, most: int, least: int, taken: dict[int, int]):
+        """Lengths in [least, most], the longest first, of which one more than ``taken`` is left."""
+        at = bisect_right(self.lengths, most) - 1
+        while at >= 0 and self.lengths[at] >= least:
+            if self.left[self.lengths[at]] > taken.get(self.lengths[at], 0):
+                yield self.lengths[at]
+            at -= 1
+
+    def filled(self, groups: list[int], capacity: int) -> Pattern | None:
+        """A sequence of the longest pieces of the groups; the last two are those that fill it best, the
+        last one of whatever group."""
+        taken: dict[int, int] = {}
+        room = capacity
+        for group in groups[:-2]:
+            found = next(self.down(min(room, group * self.unit), (group - 1) * self.unit + 1, taken), None)
+            if found is None:
+                return None
+            taken[found] = taken.get(found, 0) + 1
+            room -= found
+        ends: list[list[int]] = []
+        if len(groups) > 1:
+            group = groups[-2]
+            for first in self.down(min(room, group * self.unit), (group - 1) * self.unit + 1, taken):
+                both = {**taken, first: taken.get(first, 0) + 1}
+                ends += [[first, last] for last in islice(self.down(room - first, 1, both), 1)]
+        else:
+            ends = [[last] for last in islice(self.down(room, 1, taken), 1)]
+        if not ends:
+            return None
+        for found in max(ends, key=sum):
+            taken[found] = taken.get(found, 0) + 1
+        return sorted(taken.items(), reverse=True)
+
+    def take(self, pattern: Pattern, most: int) -> int:
+        """How many sequences of the pattern there are, ``most`` at most; they are taken out."""
+        times = min(most, *(self.left[length] // each for length, each in pattern))
+        for length, each in pattern:
+            self.left[length] -= each * times
+            if not self.left[length]:
+                self._drop(length)
+        return times
+
+
+def _rounded(
+    chosen: dict[tuple, float], sizes: np.ndarray, stock: _Stock, capacity: int
+) -> list[tuple[Pattern, int]]:
+    """Whole sequences for the configurations: each gets what the sum so far is short of.
+
+    A pattern is followed until one of its lengths is used up, so there are no more patterns than
+    lengths and configurations.
+    """
+    begun: list[tuple[Pattern, int]] = []
+    due, placed = 0.0, 0
+    for configuration in sorted(chosen, key=lambda c: (-chosen[c], c)):
+        due += chosen[configuration]
+        groups = [int(sizes[at]) for at, each in configuration for _ in range(each)]
+        while placed < int(due):
+            pattern = stock.filled(groups, capacity)
+            if pattern is None:  # longest pieces of one group have filled in for another
+                placed = int(due)
+                break
+            times = stock.take(pattern, int(due) - placed)
+            begun.append((pattern, times))
+            placed += times
+    return begun
 
 
 def _best_fit(left: dict[int, int], capacity: int, begun: list[tuple[Pattern, int]]):
@@ -110,23 +192,28 @@ def _best_fit(left: dict[int, int], capacity: int, begun: list[tuple[Pattern, in
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
     """Patterns [(length, how many)] and how many sequences follow each; takes every piece once.
 
-    Short pieces stay out of the program; they fill what room there is in the end. Rounded down
-    are configurations that leave no room: best-fit does no worse with the pieces of the others.
+    Short pieces stay out of the program; they fill what room there is.
     """
+    begun, rest = program(histogram, capacity)
+    return _best_fit(rest, capacity, begun)
+
+
+def program(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[Pattern, int]], dict[int, int]]:
+    """The sequences of the configuration program, and the pieces they leave, by length."""
     left = {int(s): int(n) for s, n in histogram.items() if n}
-    sizes = np.array([s for s in sorted(left) if s * SHORT > capacity])
-    begun: list[tuple[Pattern, int]] = []
-    if len(sizes):
-        counts = np.array([left[int(s)] for s in sizes], float)
-        chosen = _weighted(sizes, counts, capacity)
-        for pattern in sorted(chosen, key=lambda p: (-chosen[p], p)):
-            placed = [(int(sizes[at]), each) for at, each in pattern]
-            times = min(int(chosen[pattern]), *(left[s] // each for s, each in placed))
-            if times and sum(s * each for s, each in placed) == capacity:
-                begun.append((placed, times))
-                for s, each in placed:
-                    left[s] -= each * times
-    return _best_fit({s: n for s, n in left.items() if n}, capacity, begun)
+    unit = max(1, capacity // UNITS)
+    counts: dict[int, int] = defaultdict(int)
+    for s, n in left.items():
+        if s * SHORT > capacity:
+            counts[-(-s // unit)] += n
+    if not counts:
+        return [], left
+    sizes = np.array(sorted(counts))
+    # A size is rounded up to its unit, the capacity to one unit more than it holds whole.
+    units = -(-capacity // unit)
+    chosen = _weighted(sizes, np.array([counts[g] for g in sizes.tolist()], float), units)
+    stock = _Stock(left, unit)
+    return _rounded(chosen, sizes, stock, capacity), stock.left
 
 
 def _places(patterns: list[tuple[Pattern, int]]) -> np.ndarray:
