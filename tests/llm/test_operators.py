@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -17,7 +18,7 @@ from ticketry.llm.bpe import encode
 from ticketry.llm.common import doc_id
 from ticketry.llm.html_text import extract_text, text_of
 from ticketry.llm.licenses import TEMPLATES, patience, scan_licenses, words
-from ticketry.llm.packing import pack, plan
+from ticketry.llm.packing import pack, plan, program
 from ticketry.llm.quality_rules import bucket, judge, keep
 from ticketry.llm.rolling import BLOCK
 from ticketry.llm.sharding import GROWN, TREE, Shard, shard
@@ -68,9 +69,22 @@ def none(spark):
 def clashing(df):
     """Extra columns under names the operators use themselves."""
     names = ("kept", "spans", "fp", "root", "component_id", "length", "slice", "chunk", "anchor", "key")
+    names += ("__id", "__th", "__text", "__m", "__kept", "__w", "__lang", "symbols", "repeats", "other column 1")
     return df.withColumns({n: F.lit(1) for n in names})
 
 
+def test_columns_may_be_called_as_the_operators_call_their_own(docs):
+    rows = clashing(docs)
+    for stage in (keep, one_of_each, without_repeats):
+        plain, found = stage(docs), stage(rows)
+        assert found.columns == rows.columns and all(r["__m"] == r["symbols"] == 1 for r in found.collect())
+        same(found.select(*docs.columns).collect(), plain.collect())
+    for name, operator in (("kept", suffix_dedup), ("n_words", substring_dedup), ("__kept", judge), ("length", pack)):
+        same(operator(rows).select(name).collect(), operator(docs).select(name).collect())
+    pages = rows.withColumnRenamed("text", "html").withColumn("__html", F.lit(2))
+    assert {r["__html"] for r in extract_text(pages).collect()} == {2}
+
+
 def got(df, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
 
@@ -85,8 +99,9 @@ def removed():
 
 @pytest.mark.parametrize("ordered", [4096, 3])
 def test_suffix_dedup(docs, rows, none, monkeypatch, ordered):
-    # With 3, centres of more classes take the way of counting each string.
+    # With 3, centres of more classes take the way of counting each string, and larger classes go by parts.
     monkeypatch.setattr("ticketry.llm.suffix_dedup.ORDERED", ordered)
+    monkeypatch.setattr("ticketry.llm.suffix_dedup.HEAVY", ordered)
     found = suffix_dedup(clashing(docs))
     columns = (doc_id(), "n_bytes", removed(), F.size("spans"), F.sha2("kept", 256))
     same(got(found, *columns), brute.suffix_dedup(rows))
@@ -248,6 +263,37 @@ def test_plan_takes_every_piece_and_is_tight():
         assert bound / sum(t for _, t in patterns) >= floor
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_program_packs_nearly_all(seed):
+    """At the production capacity: the program's share, and the sum against the least there can be."""
+    chance = random.Random(seed)
+    sizes = [min(4096, max(1, int(chance.lognormvariate(6.5, 1)))) for _ in range(20_000 // seed)]
+    histogram = Counter(sizes)
+    begun, rest = program(histogram)
+    patterns = plan(histogram)
+    used = Counter()
+    for pattern, times in patterns:
+        assert sum(s * k for s, k in pattern) <= 4096
+        for s, k in pattern:
+            used[s] += k * times
+    assert used == histogram
+    left = Counter(rest)
+    for pattern, times in begun:
+        for s, k in pattern:
+            left[s] += k * times
+    assert +left == histogram
+    total = sum(t for _, t in patterns)
+    assert sum(t for _, t in begun) >= 0.8 * total
+    assert total <= 1.003 * -(-sum(sizes) // 4096) + 1
+
+
+def test_plan_grows_with_lengths_not_with_pieces():
+    chance = random.Random(7)
+    histogram = Counter(chance.randint(1, 4096) for _ in range(5000))
+    few, many = (plan({s: n * k for s, n in histogram.items()}) for k in (1, 1_000_000))
+    assert len(many) < 4 * len(few) and sum(t for _, t in many) > 900_000 * sum(t for _, t in few)
+
+
 def test_sharding(docs, rows, none):
     found = shard(clashing(docs)).collect()
     same(
@@ -475,6 +521,26 @@ def test_html_shows_drawings_and_formulas():
     assert text_of(f"a {formula} b") == "a x=1 b" and text_of("<desc>seen</desc>") == "seen"
 
 
+def test_html_cells_keep_their_lines():
+    page = "<table><tr><td>a<td><ul><li>b<li>c</ul><td>d<br>e<tr><td>f<td>g<td>h</table>"
+    assert text_of(page) == "a  - b  d\n   - c  e\nf  g    h"
+    assert text_of("<table><tr><td><p>a<p>b<td>c</table>") == "a  c\n\nb"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<table><tr><td>" * 100_000 + "x", "x"), ("<div><table>" * 50_000 + "x", "x"), ("<b>" * 300_000 + "x", "x"),
+        ("x" + "<a" * 500_000, "x"), ("x" + '<a b="x>' * 99_999, "x"), ("x<a b=\"y>z", "x"), ("x" + "<!" * 500_000, "x"),
+        ('x<a b=">">' * 50_000, "x" * 50_000), ("<a \">x</a>", "x"), ("<a b='>'c=\">\" d=e>x</a>", "x"),
+    ],
+)
+def test_html_of_any_depth_in_linear_time(page, text):
+    start = time.perf_counter()
+    assert text_of(page) == text
+    assert time.perf_counter() - start < 30
+
+
 def test_html_table(spark):
     rows = [(1, "u", "<p>a", "old"), (2, None, None, "old"), (3, "u", "", None), (3, "u", "", None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

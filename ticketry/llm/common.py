@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import sys
 import tempfile
 import types
@@ -37,6 +38,34 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def own_names(*known: str):
+    """For operators that give back the columns they got: those that are not ``known`` to them travel
+    under other names, so that a column may be called as it likes."""
+
+    def wrapped(operator):
+        @functools.wraps(operator)
+        def run(documents: DataFrame, *args, **kwargs) -> DataFrame:
+            others = [c for c in documents.columns if c not in known]
+            apart = {c: f"other column {i}" for i, c in enumerate(others)}
+            back = {b: a for a, b in apart.items()}
+            renamed = lambda df, names: df.select(
+                *[F.col(f"`{c}`").alias(names.get(c, c)) for c in df.columns]
+            )
+            return renamed(operator(renamed(documents, apart), *args, **kwargs), back)
+
+        return run
+
+    return wrapped
+
+
 def keyed(df: DataFrame, *columns: str) -> DataFrame:
     """``__id``, ``__th`` and ``__text`` of each row, and the named columns.
 

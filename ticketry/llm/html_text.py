@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketry.llm.common import free_name
+
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Content is text up to the end tag, whatever it looks like.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -54,7 +56,9 @@ IMPLIED = {
     **{p: ((*PARTS, "caption", "colgroup"), ("table", "template")) for p in PARTS},
     "body": (("head",), ()),
 }
-TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+#: Up to the end of a tag or a value; a quote opens a value behind an equals sign only.
+PLAIN = re.compile(r"[^>=]*+(?:=[ \t\n\f\r]*+)?")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 BLANKS = re.compile(r"[ \t\n\f\r]+")
 HIDING = {"display": ("none",), "visibility": ("hidden", "collapse")}
@@ -73,8 +77,28 @@ class Node:
         self.name, self.attributes, self.children = name, attributes, []
 
 
+def _tag_end(html: str, at: int) -> int:
+    """Where the tag whose name ends at ``at`` has its end; -1 if the page ends before."""
+    while True:
+        at = PLAIN.match(html, at).end()
+        sign = html[at : at + 1]
+        if sign == ">":
+            return at
+        if not sign:
+            return -1
+        if sign in "\"'" and html[at - 1] in "= \t\n\f\r":
+            at = html.find(sign, at + 1)
+            if at < 0:
+                return -1
+            at += 1
+
+
 def tokens(html: str):
-    """("text", text, "") or ("start" or "end", name, attributes), left to right, once over."""
+    """("text", text, "") or ("start" or "end", name, attributes), left to right, once over.
+
+    A tag that the page ends in, or whose last value never ends, takes the rest of the page along, as on
+    a screen; so no sign is looked at from two tags.
+    """
     at, size = 0, len(html)
     while at < size:
         mark = html.find("<", at)
@@ -89,8 +113,11 @@ def tokens(html: str):
             continue
         found = TAG.match(html, mark)
         if found:
-            at, name = found.end(), found[2].lower()
-            yield ("end" if found[1] else "start"), name, found[3]
+            end = _tag_end(html, found.end())
+            if end < 0:
+                return
+            at, name = end + 1, found[2].lower()
+            yield ("end" if found[1] else "start"), name, html[found.end() : end]
             if not found[1] and name in RAW:
                 close = re.compile(f"</{name}(?=[\\s/>])", re.I).search(html, at)
                 end = close.start() if close else size
@@ -98,7 +125,7 @@ def tokens(html: str):
                 at = end
             continue
         follow = html[mark + 1 : mark + 2]
-        if follow and (follow in "!?/" or follow.isalpha()):
+        if follow and follow in "!?/":
             end = html.find(">", mark)
             at = size if end < 0 else end + 1  # a broken tag shows nothing
         else:
@@ -321,6 +348,7 @@ class Page:
         self.lines: list[str] = []
         self.line: list[str] = []
         self.indent, self.mark, self.gap, self.blank = 0, "", False, False
+        self.tabled = False
 
     def text(self, text: str) -> None:
         """Inline text: white space runs are one blank, none at the start of a line."""
@@ -348,9 +376,12 @@ class Page:
         self.gap = True
 
 
-def _cells(table: Node, rules: Rules) -> list[list[tuple[str, int]]]:
-    """(text, columns) of each visible cell, row by row; nested tables are text of their cell."""
-    rows: list[list[tuple[str, int]]] = []
+def _cells(table: Node, rules: Rules):
+    """(lines, columns) of each visible cell, row by row. A cell that holds a table is one line.
+
+    A generator like ``_rendered``.
+    """
+    rows: list[list[tuple[list[str], int]]] = []
     carried: dict[int, int] = {}  # column -> rows that a cell above still covers
     queue = [table]
     while queue:
@@ -369,10 +400,14 @@ def _cells(table: Node, rules: Rules) -> list[list[tuple[str, int]]]:
                 continue
             while carried.get(column, 0) > 0:
                 carried[column] -= 1
-                row.append(("", 1))
+                row.append(([], 1))
                 column += 1
             across, down = _number(cell, "colspan", 100), _number(cell, "rowspan", 1000)
-            row.append((" ".join(render(cell, rules).split("\n")).strip(), across))
+            text, tabled = yield cell
+            lines = text.split("\n")
+            if tabled:
+                lines = [" ".join(lines).strip()]
+            row.append((lines if text.strip() else [], across))
             for c in range(column, column + across):
                 carried[c] = down - 1
             column += across
@@ -385,34 +420,55 @@ def _number(node: Node, name: str, most: int) -> int:
     return min(max(int(digits), 1), most) if digits.isdecimal() and len(digits) < 9 else 1
 
 
-def _table(page: Page, table: Node, rules: Rules) -> None:
-    """Cells of a column under each other, columns two blanks apart."""
+def _table(page: Page, table: Node, rules: Rules):
+    """Cells of a column under each other, columns two blanks apart; a cell keeps its lines."""
     page.space()
+    page.tabled = True
     for child in table.children:
         if isinstance(child, Node) and child.name == "caption" and shown(child, rules):
-            page.text(render(child, rules).replace("\n", " "))
+            text, _ = yield child
+            page.text(text.replace("\n", " "))
             page.end_line()
-    rows = [row for row in _cells(table, rules) if any(text for text, _ in row)]
+    rows = yield from _cells(table, rules)
+    rows = [row for row in rows if any(lines for lines, _ in row)]
     widths: dict[int, int] = {}
     for row in rows:
         column = 0
-        for text, across in row:
+        for lines, across in row:
             if across == 1:
-                widths[column] = max(widths.get(column, 0), len(text))
+                widths[column] = max(widths.get(column, 0), max(map(len, lines), default=0))
             column += across
     for row in rows:
-        column, line = 0, ""
-        for text, across in row:
-            width = sum(widths.get(c, 0) for c in range(column, column + across)) + 2 * (across - 1)
-            line += text.ljust(width) + "  "
-            column += across
-        page.line = [line]
-        page.end_line()
+        for k in range(max(len(lines) for lines, _ in row)):
+            column, out = 0, ""
+            for lines, across in row:
+                width = sum(widths.get(c, 0) for c in range(column, column + across)) + 2 * (across - 1)
+                out += (lines[k] if k < len(lines) else "").ljust(width) + "  "
+                column += across
+            page.line = [out]
+            page.end_line(always=True)
     page.gap = True
 
 
 def render(root: Node, rules: Rules) -> str:
-    """The visible text of a subtree; an explicit stack, so depth is no limit."""
+    """The visible text of a subtree. Parts that stand apart (cells, captions) are asked for by what
+    they stand in, and wait on a stack of our own, so depth is no limit."""
+    waiting, found = [_rendered(root, rules)], None
+    while waiting:
+        try:
+            part = waiting[-1].send(found)
+        except StopIteration as done:
+            waiting.pop()
+            found = done.value
+        else:
+            waiting.append(_rendered(part, rules))
+            found = None
+    return found[0]
+
+
+def _rendered(root: Node, rules: Rules):
+    """A generator: yields a cell or caption, is sent what is found in it, and returns the text of the
+    whole and whether it holds a table."""
     page = Page()
     counters: list[list] = []  # of open lists: [next number or None]
     queue: list = [("open", root, False)]
@@ -453,7 +509,7 @@ def render(root: Node, rules: Rules) -> str:
             page.end_line(always=True)
             continue
         if name == "table" and node is not root:
-            _table(page, node, rules)
+            yield from _table(page, node, rules)
             continue
         if name in CELLS and node is not root:
             page.text(" ")  # a cell outside any table
@@ -485,7 +541,7 @@ def render(root: Node, rules: Rules) -> str:
             if not closed or (isinstance(child, Node) and child.name == "summary"):
                 queue.append(("open", child, keep))
     page.end_line()
-    return "\n".join(page.lines).strip("\n")
+    return "\n".join(page.lines).strip("\n"), page.tabled
 
 
 def text_of(html: str | None) -> str:
@@ -497,17 +553,19 @@ def extract_text(pages: DataFrame, html: str = "html", text: str = "text") -> Da
     """``pages`` with the visible text of column ``html`` in column ``text`` instead of it.
 
     Null and empty pages give empty text, broken ones what a lenient reader sees: unclosed elements
-    end with the page, stray end tags are passed over, a broken tag shows nothing. A column that is
+    end with the page, stray end tags are passed over, a tag that never ends shows nothing, nor does
+    what follows it. Elements and tables may be nested to any depth. A column that is
     called ``text`` already is replaced. Rows are independent, one at a time; repeated rows give
     repeated results, an empty table an empty one.
     """
     others = [c for c in pages.columns if c not in (html, text)]
-    rows = pages.select(*[pages[c] for c in others], pages[html].alias("__html"))
-    schema = rows.drop("__html").withColumn(text, F.lit("")).schema
+    source = free_name(pages, "__html")
+    rows = pages.select(*[pages[c] for c in others], pages[html].alias(source))
+    schema = rows.drop(source).withColumn(text, F.lit("")).schema
 
     def run(batches):
         for batch in batches:
-            found = pa.array([text_of(h) for h in batch.column("__html").to_pylist()], pa.string())
+            found = pa.array([text_of(h) for h in batch.column(source).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(i) for i in range(len(others))], found], [*others, text]
             )

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketry.llm.common import SPACE_RUN, SPACES, cut
+from ticketry.llm.common import SPACES, SPACE_RUN, cut, own_names
 
 #: Leading bits a bucket keeps: a quantile is off by less than one part in 32.
 LEADING = 6
@@ -197,6 +197,8 @@ def judge(documents: DataFrame, enough: int = ENOUGH, columns: list[str] | None
     ``source`` count as null. Repeated rows count as often as they occur. An empty table gives an
     empty result.
     """
+    # A column that is called like a result is replaced, like a working column passed over.
+    documents = documents.drop(*[c for c in documents.columns if c.startswith("__")])
     wanted = documents.columns if columns is None else columns
     null = F.lit(None).cast("string")
     group = {
@@ -253,6 +255,7 @@ def judge(documents: DataFrame, enough: int = ENOUGH, columns: list[str] | None
     )
 
 
+@own_names("doc_id", "text", "lang", "source")
 def keep(documents: DataFrame, enough: int = ENOUGH) -> DataFrame:
     """The rows of ``documents`` that pass."""
     return judge(documents, enough).where("__kept").select(*documents.columns)

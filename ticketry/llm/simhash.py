@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketry.llm.common import cut, doc_id, keyed, unknown
+from ticketry.llm.common import cut, doc_id, keyed, own_names, unknown
 
 BITS, SEGMENTS = 64, 2
 WIDTH = BITS // SEGMENTS
@@ -176,6 +176,7 @@ def near_duplicates(documents: DataFrame, shingle: int = 3, max_bits: int = 3) -
     return rows.join(by_mark, "fp").select("__id", "__th", "fp", "root", "component_id")
 
 
+@own_names("doc_id", "text")
 def one_of_each(documents: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """The rows of ``documents`` that stay: of each component the one with the smallest id.
 

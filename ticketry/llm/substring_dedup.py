@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketry.llm.common import cut, keyed, unknown
+from ticketry.llm.common import cut, keyed, own_names, unknown
 from ticketry.llm.rolling import minima, mixed, powers, windows
 
 WINDOW = 50
@@ -251,6 +251,7 @@ def substring_dedup(
     )
 
 
+@own_names("doc_id", "text", "n_chars")
 def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """``documents`` with texts (and ``n_chars``, if there is one) that have lost their repeats.
 
