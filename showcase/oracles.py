@@ -395,7 +395,7 @@ ORACLES["ml_split_documents"] = f"""
 SELECT id_ticket, ({CRC} % 5)::INT AS part FROM (SELECT doc_id AS id_ticket, doc_id::VARCHAR AS s FROM documents)"""
 ORACLES["text_quality"] = """
 SELECT count(*) FILTER (texto IS NULL OR strlen(trim(texto)) < 5) AS textos_invalidos, count(*) AS total
-FROM (SELECT CASE WHEN doc_id % 7 = 0 THEN ' ññ ' ELSE text END AS texto FROM documents)"""
+FROM (SELECT text AS texto FROM documents UNION ALL SELECT ' ññ ' FROM documents WHERE doc_id % 7 = 0)"""
 
 
 def distribution(test: str) -> str:

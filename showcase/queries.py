@@ -238,7 +238,8 @@ def categorize_documents(spark, sf):
 
 @query
 def keyword_scores_joined(spark, sf):
-    """The vocabulary as a table, terms of all kinds; a term's weights in a category add up."""
+    """The vocabulary as a table, but for terms with wildcards, which are no words to join by; a term's
+    weights in a category add up."""
     weights: dict[tuple[str, str], float] = {}
     for t in default_terms():
         if t.term not in WILDCARD_TERMS:
@@ -570,10 +571,10 @@ def ml_split_documents(spark, sf):
 
 @query
 def text_quality(spark, sf):
-    texts = S.documents(spark, sf, "doc_id", "text").select(
-        F.when(F.col("doc_id") % 7 == 0, F.lit(" ññ ")).otherwise(F.col("text")).alias("texto")
-    )
-    return training_sets.text_quality(texts)
+    """Every text, and for each seventh document one more that is too short."""
+    docs = S.documents(spark, sf, "doc_id", "text")
+    short = docs.where("doc_id % 7 = 0").select(F.lit(" ññ ").alias("texto"))
+    return training_sets.text_quality(docs.select(F.col("text").alias("texto")).unionByName(short))
 
 
 @query
