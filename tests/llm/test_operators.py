@@ -210,6 +210,17 @@ def test_top_k(spark):
     assert top_k(table.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_top_k_in_blocks_and_cells(spark, monkeypatch):
+    chance = random.Random(2)
+    rows = [(i, [chance.gauss(0, 1) for _ in range(chance.choice((8, 8, 8, 5)))]) for i in range(0, 3000, 4)]
+    rows += [(i, [0.25] * 8) for i in range(1, 60)]
+    for name, value in (("CELL_ROWS", 16), ("CELL_QUERIES", 4), ("BLOCK_BYTES", 800)):
+        monkeypatch.setattr(f"ticketry.llm.topk.{name}", value)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    found = top_k(table, F.col("vec_id") % 100 == 0, k=7)
+    same(got(found, "query_id", "rank", "vec_id", "score"), brute.top_k(rows, k=7))
+
+
 def test_codec(docs, rows, none):
     tokenizer = load(default_path())[0]
     wanted = []

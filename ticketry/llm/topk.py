@@ -11,15 +11,21 @@ taken with few segments first and with more for the survivors; what is left is c
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticketry.llm.common import cut
+
 #: Segments of a vector, coarse to fine.
 LEVELS = (4, 16)
-#: Candidates and queries of one cell of the grid: what a task holds at a time.
+#: Candidates and queries that are compared at a time.
 CELL_ROWS, CELL_QUERIES = 1024, 1024
+#: Bytes of the queries that go to all tasks at a time.
+BLOCK_BYTES = 1 << 26
 
 RESULT = "quid long, query_id long, uid long, vec_id long, score long"
 
@@ -40,14 +46,8 @@ def _statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
     return np.hstack([means * np.sqrt(sizes), np.sqrt(squares)])
 
 
-def _matrix(table: pa.Table) -> np.ndarray:
-    rows = table.num_rows
-    flat = table["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(rows, -1)
-
-
-def _column(table: pa.Table, name: str) -> np.ndarray:
-    return table[name].to_numpy()
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -59,59 +59,85 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def _cell(k: int):
-    def search(queries: pa.Table, candidates: pa.Table) -> pa.Table:
-        found = [[] for _ in range(5)]
-        if queries.num_rows and candidates.num_rows:
-            exact_q, exact_c = _matrix(queries), _matrix(candidates)
-            q_uid, q_id, floor = (_column(queries, c) for c in ("uid", "id", "floor"))
-            c_uid, c_id = (_column(candidates, c) for c in ("uid", "id"))
-            wide = exact_q.shape[1] > 0
-            real_q, real_c = exact_q.astype(float), exact_c.astype(float)
-            # The rounding of the bounds, far above what 64-bit floats lose.
-            slack = 1e-9 * np.linalg.norm(real_q, axis=1) * np.linalg.norm(real_c, axis=1).max()
-            slack = slack + 1e-6
-            if wide:
-                stats_q = [_statistics(real_q, n) for n in LEVELS]
-                stats_c = [_statistics(real_c, n) for n in LEVELS]
-                coarse = stats_q[0] @ stats_c[0].T
-            for i in range(len(exact_q)):
-                own = c_uid != q_uid[i]
-                if not wide:
-                    left = np.flatnonzero(own)
-                else:
-                    bound = np.where(own, coarse[i] + slack[i], -np.inf)
-                    least = float(floor[i])
-                    if len(bound) > k:
+class _Search:
+    """Queries of one width and the best that each has met so far."""
+
+    def __init__(self, uid: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int):
+        self.uid, self.ids, self.exact, self.k = uid, ids, vectors, k
+        real = vectors.astype(float)
+        self.wide = vectors.shape[1] > 0
+        self.levels = [_statistics(real, n) for n in LEVELS] if self.wide else []
+        self.norms = np.linalg.norm(real, axis=1)
+        none = np.empty(0, np.int64)
+        self.found = [(none, none, none)] * len(uid)  # score, id, uid
+        self.floor = np.full(len(uid), -np.inf)
+
+    def meet(self, uid: np.ndarray, ids: np.ndarray, exact: np.ndarray) -> None:
+        k, real = self.k, exact.astype(float)
+        levels = [_statistics(real, n) for n in LEVELS] if self.wide else []
+        # The rounding of the bounds, far above what 64-bit floats lose.
+        slack = 1e-9 * self.norms * np.linalg.norm(real, axis=1).max() + 1e-6
+        for low in range(0, len(self.uid), CELL_QUERIES):
+            some = range(low, min(low + CELL_QUERIES, len(self.uid)))
+            coarse = self.levels[0][some.start : some.stop] @ levels[0].T if self.wide else None
+            for i in some:
+                own, least = uid != self.uid[i], self.floor[i]
+                if self.wide:
+                    bound = np.where(own, coarse[i - low] + slack[i], -np.inf)
+                    if least == -np.inf and len(bound) > k:
                         # The k most promising give a score that survivors have to reach.
                         first = np.argpartition(bound, len(bound) - k)[-k:]
                         first = first[own[first]]
                         if len(first) == k:
-                            least = max(least, float((exact_c[first] @ exact_q[i]).min()))
+                            least = float((exact[first] @ self.exact[i]).min())
                     left = np.flatnonzero(own & (bound >= least))
-                    for q, c in zip(stats_q[1:], stats_c[1:]):
+                    for q, c in zip(self.levels[1:], levels[1:]):
                         left = left[c[left] @ q[i] + slack[i] >= least]
-                scores = exact_c[left] @ exact_q[i]
-                reach = scores >= floor[i]
-                left, scores = left[reach], scores[reach]
-                best = _best(scores, c_id[left], k)
-                for out, values in zip(
-                    found,
-                    (
-                        np.full(len(best), q_uid[i]), np.full(len(best), q_id[i]),
-                        c_uid[left[best]], c_id[left[best]], scores[best],
-                    ),
-                ):
-                    out.append(values)
-        names = ["quid", "query_id", "uid", "vec_id", "score"]
-        return pa.table(
-            {
-                n: pa.array(np.concatenate(v).astype(np.int64) if v else [], pa.int64())
-                for n, v in zip(names, found)
-            }
-        )
-
-    return search
+                else:
+                    left = np.flatnonzero(own)
+                if not len(left):
+                    continue
+                scores = exact[left] @ self.exact[i]
+                before = self.found[i]
+                scores, new_ids, new_uid = (
+                    np.concatenate(x) for x in zip(before, (scores, ids[left], uid[left]))
+                )
+                best = _best(scores, new_ids, k)
+                self.found[i] = scores[best], new_ids[best], new_uid[best]
+                if len(best) == k:
+                    self.floor[i] = scores[best].min()
+
+    def rows(self):
+        for low in range(0, len(self.uid), CELL_QUERIES):
+            part = self.found[low : low + CELL_QUERIES]
+            sizes = [len(f[0]) for f in part]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(x[low : low + CELL_QUERIES], sizes).astype(np.int64)) for x in (self.uid, self.ids)
+                ]
+                + [pa.array(np.concatenate([f[j] for f in part]).astype(np.int64)) for j in (2, 1, 0)],
+                ["quid", "query_id", "uid", "vec_id", "score"],
+            )
+
+
+def _scan(sent, k: int):
+    def run(batches):
+        searches = {w: _Search(*asked, k) for w, asked in sent.value.items()}
+        for batch in batches:
+            widths = batch.column("width").to_numpy()
+            for width in np.unique(widths).tolist():
+                if width not in searches:
+                    continue
+                part = batch.filter(pa.array(widths == width))
+                uid, ids = (part.column(c).to_numpy() for c in ("uid", "id"))
+                vectors = _matrix(part.column("vec"), width)
+                for low in range(0, len(uid), CELL_ROWS):
+                    cell = slice(low, low + CELL_ROWS)
+                    searches[width].meet(uid[cell], ids[cell], vectors[cell])
+        for search in searches.values():
+            yield from search.rows()
+
+    return run
 
 
 def top_k(
@@ -126,9 +152,9 @@ def top_k(
     part. Vectors are compared with those of their own width; empty ones score 0. Repeated rows
     are rows of their own. Scores have to fit 64 bits. An empty table gives an empty result.
 
-    Queries and candidates are dealt over a grid of cells of bounded size, each pair meeting in
-    one cell. A first column of cells gives each query a score to reach, with which the others
-    prune; a cell returns k rows per query at most, and those are merged.
+    Queries go to all tasks in blocks of ``BLOCK_BYTES``; candidates stay where they are read. A task
+    compares segment statistics first, against the k-th best score that each query has met in it so
+    far, and computes the survivors. What is shuffled is k rows at most for each query and task.
     """
     rows = (
         vectors.select(
@@ -140,36 +166,31 @@ def top_k(
         .withColumn("vec", F.transform("vec", lambda x: F.floor(x.cast("double") * scale)))
         .withColumn("width", F.size("vec"))
     )
-    sizes = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
-    chunks, blocks = -(-max(sizes.n, 1) // CELL_ROWS), -(-max(sizes.q, 1) // CELL_QUERIES)
-    slot = lambda n: F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int")
-    candidates = rows.select("uid", "id", "vec", "width", slot(chunks).alias("chunk")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    )
-    queries = rows.where("asks").select(
-        *[F.col(c).alias(c) for c in ("uid", "id", "vec", "width")], slot(blocks).alias("block")
-    )
-
-    def searched(asked: DataFrame, first: int, last: int) -> DataFrame:
-        dealt = asked.withColumn("chunk", F.explode(F.sequence(F.lit(first), F.lit(last))))
-        among = candidates.where(F.col("chunk").between(first, last))
-        cell = ("chunk", "block", "width")
-        return (
-            dealt.groupBy(*cell).cogroup(among.groupBy(*cell)).applyInArrow(_cell(k), RESULT)
-        )
-
-    lowest = F.lit(-(2**63)).cast("long")
-    seeds = searched(queries.withColumn("floor", lowest), 0, 0)
-    reached = seeds.groupBy("quid").agg(
-        F.when(F.count("*") >= k, F.min("score")).otherwise(lowest).alias("floor")
-    )
-    ready = queries.join(reached, F.col("uid") == F.col("quid"), "left").select(
-        *queries.columns, F.coalesce("floor", lowest).alias("floor")
-    )
+    rows = cut(rows)  # what a row is called must not change from block to block
+    asked = rows.where("asks").select("uid", "id", "vec", "width")
+    size = asked.agg(F.coalesce(F.sum(F.lit(16) + 8 * F.col("width")), F.lit(0)).alias("bytes")).first().bytes
+    # A block is half as large on average, so that the uneven spread of a hash stays within.
+    blocks = 1 if size <= BLOCK_BYTES else -(-2 * size // BLOCK_BYTES)
     place = Window.partitionBy("quid").orderBy(F.desc("score"), "vec_id", "uid")
-    return (
-        searched(ready, 0, chunks - 1)
-        .withColumn("rank", F.row_number().over(place))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    context, results = rows.sparkSession.sparkContext, []
+    for block in range(blocks):
+        mine = F.pmod(F.xxhash64("uid"), F.lit(blocks)) == block
+        table = asked.where(mine).toArrow()  # a block, see above
+        sent = context.broadcast(_by_width(table))
+        found = rows.select("uid", "id", "vec", "width").mapInArrow(_scan(sent, k), RESULT)
+        ranked = found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+        results.append(cut(ranked.select("query_id", "rank", "vec_id", "score")))
+        sent.unpersist()
+    return reduce(DataFrame.unionByName, results)
+
+
+def _by_width(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(uid, id, vectors) of the queries of each width."""
+    table = table.combine_chunks()
+    widths = table["width"].to_numpy()
+    out = {}
+    for width in np.unique(widths).tolist():
+        part = table.filter(pa.array(widths == width)).combine_chunks()
+        vectors = _matrix(part["vec"].combine_chunks(), width)
+        out[width] = (part["uid"].to_numpy(), part["id"].to_numpy(), vectors)
+    return out
