@@ -316,17 +316,18 @@ def lineage(spark, sf):
     return warehouse.lineage(S.facts(spark, sf), S.staging(spark, sf))
 
 
-def _earlier(spark, sf):
+def _earlier(facts):
     """Facts of an earlier load: every tenth ticket comes again, the others had other codes."""
     again = F.col("id_ticket") % 10 == 0
     code = F.when(again, F.col("ticket_code")).otherwise(F.concat(F.lit("V-"), "ticket_code"))
-    return S.facts(spark, sf).withColumns({"ticket_code": code, "asunto": F.lit("antiguo")})
+    return facts.withColumns({"ticket_code": code, "asunto": F.lit("antiguo")})
 
 
 @query
 def reload_facts(spark, sf):
     """Numbers of known tickets by value; those of new ones unique, dense, above the last."""
-    existing, load = written(_earlier(spark, sf)), S.resolved(spark, sf)
+    load = written(S.resolved(spark, sf))
+    existing = written(_earlier(S.facts_of(load)))
     after = written(warehouse.reload_facts(existing, load, warehouse.promote(load)))
     last = existing.agg(F.max("id_ticket").alias("_last"))
     checked = after.join(F.broadcast(last)).withColumn("_new", F.col("id_ticket") > F.col("_last"))
@@ -344,7 +345,7 @@ def reload_facts(spark, sf):
 
 @query
 def reload_lineage(spark, sf):
-    existing, load = _earlier(spark, sf), S.resolved(spark, sf)
+    existing, load = _earlier(S.facts(spark, sf)), S.resolved(spark, sf)
     old = existing.select("id_ticket", F.lit("synt").alias("origen"), F.col("ticket_code").alias("id_origen"))
     return warehouse.reload_lineage(old, existing, load, S.facts(spark, sf))
 
@@ -353,7 +354,7 @@ def reload_lineage(spark, sf):
 def reload_snapshot(spark, sf):
     """Facts with their lineage as a reader finds them after a load on top of an earlier one."""
     root = f"{shared_folder(spark)}/gold-{uuid.uuid4().hex}"
-    snapshots, existing = Snapshots(spark, root), _earlier(spark, sf)
+    snapshots, existing = Snapshots(spark, root), _earlier(S.facts(spark, sf))
     origin = lambda fresh: fresh["f_tickets"].select(
         "id_ticket", F.lit("synt").alias("origen"), F.col("ticket_code").alias("id_origen")
     )

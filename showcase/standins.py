@@ -171,9 +171,11 @@ def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """f_tickets; the number is the order's key."""
-    return promote(resolved(spark, sf_dir), keep=["k"]).withColumnRenamed(
-        "k", "id_ticket"
-    ).select(*FACT_COLUMNS)
+    return facts_of(resolved(spark, sf_dir))
+
+
+def facts_of(load: DataFrame) -> DataFrame:
+    return promote(load, keep=["k"]).withColumnRenamed("k", "id_ticket").select(*FACT_COLUMNS)
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
