@@ -55,7 +55,7 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """``df`` as a table in the cluster's shared folder, read from there on.
 
     What several branches of a query read is computed once, and a lost executor costs its own
@@ -63,5 +63,5 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/ticketry-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

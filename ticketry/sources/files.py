@@ -158,7 +158,7 @@ def read_numbered(
     marked = scan.withColumn("_long", _too_long(len(names), dialect.separator))
     if not dialect.multiline:
         marked = mark_places(marked)
-    table = written(marked.drop(CORRUPT))
+    table = written(marked.drop(CORRUPT), "zstd")
     kept = number_places(table.where("NOT _long"), position)
     return _finish(kept, names, [position]), table.agg(F.count_if("_long").alias("refused"))
 

@@ -204,8 +204,9 @@ def read_records(
     """(_file, _block, _id, record, head): the records of all files, as texts with their line ends.
 
     A record's place is that of its first line; ``head`` marks the first record of a file. Lines end in a
-    line feed, or a return and a line feed; inside a cell they stay as they are. Files are read by as many tasks as they have splits, twice:
-    once for the states, once for the records.
+    line feed, or a return and a line feed; inside a cell they stay as they are. Files are read by as many
+    tasks as they have splits: once for the states, once for the records that a split holds whole, and
+    once for the pieces of those that it doesn't.
     """
     lines = _lines(spark, path, encoding, separator, escape)
     functions = lines.select("_file", "_block", "opens", "stays").mapInArrow(_functions, FUNCTION)
@@ -219,8 +220,10 @@ def read_records(
         (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b")),
     )
     ordered = marked.drop("_f", "_b").sortWithinPartitions("_file", "_block", "_id")
-    parts = written(ordered.mapInArrow(_assembled, RECORD))
+    parts = ordered.mapInArrow(_assembled, RECORD)
     whole = parts.where("ends AND opened IS NULL").select("_file", "_block", "_id", "record", "head")
+    # Cut records are two pieces a split at most. Looking for them reads the lines once more, which takes
+    # less room than a table of all records.
     cut = parts.where("NOT ends OR opened IS NOT NULL").withColumn("_from", F.coalesce("opened", "_block"))
     piece = F.sort_array(F.collect_list(F.struct("_block", "_id", "record", "head")))
     joined = cut.groupBy("_file", "_from").agg(piece.alias("pieces")).select(
