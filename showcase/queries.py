@@ -345,21 +345,24 @@ def reload_facts(spark, sf):
 
 @query
 def reload_lineage(spark, sf):
-    existing, load = _earlier(S.facts(spark, sf)), S.resolved(spark, sf)
+    load = written(S.resolved(spark, sf))
+    facts = written(S.facts_of(load).select("id_ticket", "ticket_code"))
+    existing = _earlier(facts)
     old = existing.select("id_ticket", F.lit("synt").alias("origen"), F.col("ticket_code").alias("id_origen"))
-    return warehouse.reload_lineage(old, existing, load, S.facts(spark, sf))
+    return warehouse.reload_lineage(old, existing, load, facts)
 
 
 @query
 def reload_snapshot(spark, sf):
     """Facts with their lineage as a reader finds them after a load on top of an earlier one."""
     root = f"{shared_folder(spark)}/gold-{uuid.uuid4().hex}"
-    snapshots, existing = Snapshots(spark, root), _earlier(S.facts(spark, sf))
+    staging = written(S.staging(spark, sf))
+    snapshots, existing = Snapshots(spark, root), _earlier(S.staged_facts(staging))
     origin = lambda fresh: fresh["f_tickets"].select(
         "id_ticket", F.lit("synt").alias("origen"), F.col("ticket_code").alias("id_origen")
     )
     snapshots.publish({"f_tickets": existing, "map_id_origen": origin}, 0, "earlier")
-    version = warehouse_load.load(spark, root, S.staging(spark, sf), "again")
+    version = warehouse_load.load(spark, root, staging, "again")
     tables = snapshots.read()
     return tables["f_tickets"].join(tables["map_id_origen"], "id_ticket", "full").select(
         "ticket_code", "asunto", "origen", "id_origen", "sla_met", F.lit(version).alias("version")
@@ -406,7 +409,7 @@ def pending_by_model(spark, sf):
 
 @query
 def load_predictions(spark, sf):
-    facts = S.facts(spark, sf)
+    facts = written(S.facts(spark, sf).select("id_ticket", "ticket_code"))
     codes = S.predicted_codes(spark, sf).where("modelo_version = 'SVM_v1.1'").select(
         F.col("id_ticket").alias("_id"), "pred_cat"
     )
@@ -483,7 +486,8 @@ def dq_fk_dimensions(spark, sf):
 @query
 def dq_fk_family(spark, sf):
     """Rows without parent for the references of lineage, predictions and results."""
-    facts, staging, scores = S.facts(spark, sf), S.staging(spark, sf), S.predictions(spark, sf)
+    staging, scores = written(S.staging(spark, sf)), S.predictions(spark, sf)
+    facts = written(S.staged_facts(staging).select("id_ticket", "ticket_code"))
     results = metrics.export_global(_counts(spark, sf, metrics.EXPERIMENT_COLUMNS))
     references = [
         ("map_id_origen.id_ticket", warehouse.lineage(facts, staging), "id_ticket", facts),
@@ -516,7 +520,8 @@ def dq_lengths(spark, sf):
 
 @query
 def dq_reconcile(spark, sf):
-    facts, staging = S.facts(spark, sf), S.staging(spark, sf)
+    staging = written(S.staging(spark, sf))
+    facts = written(S.staged_facts(staging))
     return quality.reconciliation(staging, facts, warehouse.lineage(facts, staging))
 
 
@@ -831,18 +836,29 @@ def scan_multiline(spark, sf):
     )
 
 
+# Bytes of text in a part of the strict scan's files, if there are more than eight.
+STRICT_PART = 1 << 26
+
+
+def _strict_parts(size: int | None) -> int:
+    """Files to write a table of so many bytes to: a task writes a few of them at most."""
+    return max(8, -(-(size or 0) // STRICT_PART))
+
+
 @query
 def scan_strict(spark, sf):
     """Good rows, and the lines that have a cell too many."""
     odd = F.when(F.col("doc_id") % 7 == 0, F.lit(";de mas")).otherwise(F.lit(""))
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r'[\\"]', "'")
-    lines = S.documents(spark, sf, "doc_id", "source", "text").select(
-        (F.col("doc_id") % 8).alias("part"), F.lit(1).alias("place"),
+    docs = S.documents(spark, sf, "doc_id", "source", "text")
+    parts = _strict_parts(docs.agg(F.sum(F.octet_length("text"))).first()[0])
+    lines = docs.select(
+        (F.col("doc_id") % parts).alias("part"), F.lit(1).alias("place"),
         F.concat(F.col("doc_id").cast("string"), F.lit(";"), "source", F.lit(';"'), text, F.lit('"'), odd).alias("value"),
     )
-    heads = spark.range(8).select(F.col("id").alias("part"), F.lit(0).alias("place"), F.lit("doc_id;source;text").alias("value"))
+    heads = spark.range(parts).select(F.col("id").alias("part"), F.lit(0).alias("place"), F.lit("doc_id;source;text").alias("value"))
     path = _folder(spark, "strict")
-    ordered = lines.unionByName(heads).repartition(8, "part").sortWithinPartitions("part", "place")
+    ordered = lines.unionByName(heads).repartition(parts, "part").sortWithinPartitions("part", "place")
     ordered.drop("place").write.partitionBy("part").text(path)
     good, bad = files.read_strict(spark, f"{path}/*")
     return good.select(F.lit("fila").alias("parte"), F.col("doc_id").alias("clave")).unionByName(

@@ -174,6 +174,11 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts_of(resolved(spark, sf_dir))
 
 
+def staged_facts(staged: DataFrame) -> DataFrame:
+    """f_tickets of a staging table."""
+    return facts_of(resolve_dimensions(clean_staging(staged)))
+
+
 def facts_of(load: DataFrame) -> DataFrame:
     return promote(load, keep=["k"]).withColumnRenamed("k", "id_ticket").select(*FACT_COLUMNS)
 

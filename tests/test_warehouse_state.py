@@ -147,3 +147,43 @@ def test_expired_versions_go_with_their_tables(spark, tmp_path):
     assert snapshots.expire(keep=1) == [1, 2] and snapshots.versions() == [3]
     assert {n: t.first().x for n, t in snapshots.read().items()} == {"one": "c", "two": "a"}
     assert len(list(tmp_path.glob("data/*/one"))) == 1
+
+
+def tables(folder, orders=40):
+    """Orders, line items and customers of a small shop, as files."""
+    import duckdb
+
+    base = duckdb.connect()
+    for name, rows in {
+        "orders": f"SELECT i AS o_orderkey, i % 7 AS o_custkey, 'F' AS o_orderstatus, '2-HIGH' AS o_orderpriority,"
+                  f" TIMESTAMP '1996-01-02' + to_days(i::INT) AS o_orderdate FROM range(1, {orders}) t(i)",
+        "lineitem": f"SELECT i AS l_orderkey, TIMESTAMP '1996-03-02' + to_days(i::INT) AS l_shipdate FROM range(1, {orders}) t(i)",
+        "customer": "SELECT i AS c_custkey, 'BUILDING' AS c_mktsegment FROM range(7) t(i)",
+        "documents": "SELECT i AS doc_id, 'web' AS source, repeat('word ', 20) AS text FROM range(100) t(i)",
+    }.items():
+        base.execute(f"COPY ({rows}) TO '{folder}/{name}.parquet' (FORMAT parquet)")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["reload_lineage", "reload_snapshot", "dq_fk_family", "dq_reconcile", "load_predictions"])
+def test_tickets_are_made_once(spark, tmp_path, monkeypatch, name):
+    from showcase import queries, standins
+
+    made = []
+    raw = standins.tickets_raw
+    monkeypatch.setattr(standins, "tickets_raw", lambda *a: made.append(1) or raw(*a))
+    found = queries.QUERIES[name](spark, tables(tmp_path))
+    assert len(made) == 1
+    # What was made is read as a table from there on.
+    assert "lineitem" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() > 0
+
+
+def test_a_strict_scan_has_parts_by_its_size(spark, tmp_path, monkeypatch):
+    from showcase import queries
+
+    assert queries._strict_parts(None) == 8 and queries._strict_parts(100 << 26) == 100
+    folder = tables(tmp_path)
+    before = sorted(queries.scan_strict(spark, folder).collect())
+    monkeypatch.setattr(queries, "STRICT_PART", 500)  # of 10000 bytes
+    assert sorted(queries.scan_strict(spark, folder).collect()) == before and len(before) == 100
