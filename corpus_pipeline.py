@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketry.llm.common import shared_folder
+from ticketry.llm.common import shared_folder, small_batches
 from ticketry.llm.packing import pack
 from ticketry.llm.quality_rules import keep
 from ticketry.llm.simhash import one_of_each
@@ -24,16 +24,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of fingerprints at most three bits apart: the smallest doc_id."""
+    small_batches(spark)
     return one_of_each(docs, shingle=3, max_bits=3)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the 50-word windows that also start in one with a smaller doc_id."""
+    small_batches(spark)
     return without_repeats(docs, window=50)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's tokens, packed into sequences of at most 4096."""
+    small_batches(spark)
     return pack(docs, capacity=4096)
 
 

@@ -64,3 +64,17 @@ def test_stages_take_an_empty_table(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, FOLDER)
         assert out.count() == 0
+
+
+@pytest.mark.parametrize("stage", ["simhash_near_dedup", "substring_dedup", "best_fit_packing"])
+def test_stages_hand_texts_over_by_their_size(spark, stage):
+    """10,000 texts at a time, of whatever size, took more memory than an executor has."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame([(i, "a" * (1 << 19)) for i in range(20)], "doc_id long, text string").coalesce(1)
+    before = spark.conf.get(name)
+    try:
+        dict(corpus_pipeline.STAGES)[stage](spark, docs, FOLDER)
+        sizes = docs.mapInArrow(lambda batches: (b.slice(0, 1) for b in batches), docs.schema).count()
+        assert 2 <= sizes <= 10
+    finally:
+        spark.conf.set(name, before)
