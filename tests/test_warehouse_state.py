@@ -187,3 +187,16 @@ def test_a_strict_scan_has_parts_by_its_size(spark, tmp_path, monkeypatch):
     before = sorted(queries.scan_strict(spark, folder).collect())
     monkeypatch.setattr(queries, "STRICT_PART", 500)  # of 10000 bytes
     assert sorted(queries.scan_strict(spark, folder).collect()) == before and len(before) == 100
+
+
+def test_a_load_is_reduced_once(spark):
+    """The first row of each code used to be found twice, for known codes and for new ones."""
+    existing = facts(spark, [(5, "b", "old")])
+    codes = ["b", "b", "c", None]
+    after = warehouse.reload_facts(existing, staged(spark, codes), existing.limit(0).unionByName(
+        facts(spark, [(1, "b", "new"), (2, "b", "newer"), (3, "c", "new"), (4, None, "new")])
+    ))
+    assert "min(" not in after._jdf.queryExecution().optimizedPlan().toString()
+    found = sorted((r.id_ticket, r.ticket_code or "") for r in after.collect())
+    assert [i for i, _ in found] == [5, 6, 7] and sorted(c for _, c in found) == ["", "b", "c"]
+    assert (5, "b") in found

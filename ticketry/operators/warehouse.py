@@ -151,21 +151,21 @@ def reload_facts(existing: DataFrame, staging: DataFrame, promoted: DataFrame) -
     row is loaded, ``repeated_codes`` tells of the others. Tickets without a code are all
     loaded, and as a null code never meets an earlier load, each gets a new number.
 
-    The load is written once; the rows to number are read from there, so that their row keys
-    stand still.
+    The load is reduced and meets the known codes once, and is written with what it met; the rows to
+    number are read from there, so that their row keys stand still.
     """
     load = [c for c in FACT_COLUMNS if c != "id_ticket"]
     order = ["fecha_creacion", *[c for c in load if c not in ("ticket_code", "fecha_creacion")]]
-    promoted = written(promoted.select(*load))
+    promoted = promoted.select(*load)
     coded = first_per_key(promoted.where("ticket_code IS NOT NULL"), ["ticket_code"], order)
-    known = existing.where("ticket_code IS NOT NULL").select("ticket_code", "id_ticket")
-    matched = coded.join(known, "ticket_code")
+    known = existing.where("ticket_code IS NOT NULL").select("ticket_code", "id_ticket", F.lit(True).alias("_known"))
     last = existing.agg(F.coalesce(F.max("id_ticket"), F.lit(C.FIRST_TICKET_ID - 1)).alias("_last"))
-    fresh = written(
-        coded.join(known, "ticket_code", "left_anti").select(*load)
-        .unionByName(promoted.where("ticket_code IS NULL").select(*load))
+    met = written(
+        coded.join(known, "ticket_code", "left")
+        .unionByName(promoted.where("ticket_code IS NULL"), allowMissingColumns=True)
         .withColumn("_key", F.monotonically_increasing_id())
     )
+    matched, fresh = met.where("_known"), met.where("_known IS NULL").drop("id_ticket", "_known")
     numbered = spread_row_number(fresh, "_key").join(F.broadcast(last)).withColumn(  # one row
         "id_ticket", (F.col("_last") + F.col("row_number")).cast("long")
     )
